@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import quality, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,8 +20,36 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production threshold table over whole documents."""
+    found = quality.judged(documents(spark, sf_dir), ["doc_id"])
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_quality": op6_quality,
     "op4_simhash": op4_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_quality": r"""WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+m AS (
+  SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(len(l) AS BIGINT) AS n_lines,
+         CAST(len(list_filter(w, lambda x: lower(x) IN ('a', 'an', 'and', 'are', 'as', 'at', 'au', 'auf', 'aux', 'avec', 'be', 'but', 'by', 'ce', 'como', 'con', 'dans', 'das', 'de', 'del', 'dem', 'den', 'der', 'des', 'die', 'du', 'ein', 'eine', 'el', 'elle', 'en', 'es', 'est', 'et', 'for', 'from', 'für', 'has', 'have', 'il', 'in', 'is', 'ist', 'it', 'la', 'las', 'le', 'les', 'lo', 'los', 'mit', 'ne', 'nicht', 'no', 'not', 'of', 'on', 'or', 'para', 'pas', 'por', 'pour', 'que', 'qui', 'se', 'su', 'that', 'the', 'this', 'to', 'un', 'una', 'und', 'une', 'von', 'was', 'were', 'with', 'y', 'you', 'zu'))) AS BIGINT) AS n_stop_words
+  FROM d),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM m WHERE len(w) >= 8)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM win) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM rep) GROUP BY doc_id),
+j AS (SELECT m.*, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words FROM m LEFT JOIN cov USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM j)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, base_failed,
+       NOT base_failed AND word_chars / n_words BETWEEN 2.0 AND 12.0 AND n_symbols / n_words <= 0.1
+       AND (n_words < 50 OR n_stop_words / n_words >= 0.01) AND (n_words < 50 OR n_dup_lines / n_lines <= 0.3) AS kept
+FROM b""",
+}
