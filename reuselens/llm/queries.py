@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import pii, quality, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "base_failed", "kept")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in whole documents: base spans and learned ones."""
+    found = pii.find_pii(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_pii": op10_pii,
     "op6_quality": op6_quality,
     "op4_simhash": op4_simhash,
 }
