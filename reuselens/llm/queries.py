@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, quality, simhash
+from . import licenses, pii, quality, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +33,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of whole documents and of their single lines."""
+    return licenses.scan(documents(spark, sf_dir), licenses.known_digests(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
     "op6_quality": op6_quality,
     "op4_simhash": op4_simhash,
@@ -60,4 +66,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
        NOT base_failed AND word_chars / n_words BETWEEN 2.0 AND 12.0 AND n_symbols / n_words <= 0.1
        AND (n_words < 50 OR n_stop_words / n_words >= 0.01) AND (n_words < 50 OR n_dup_lines / n_lines <= 0.3) AS kept
 FROM b""",
+    "op9_licenses": r"""WITH known_text(name, txt) AS (VALUES
+('MIT', 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+('BSD-2-Clause', 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+('BSD-3-Clause', 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+('ISC', 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+('0BSD', 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+('MIT', 'Released under the MIT License.'),
+('MIT', 'Licensed under the MIT License.'),
+('MIT', 'SPDX-License-Identifier: MIT'),
+('Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+('Apache-2.0', 'SPDX-License-Identifier: Apache-2.0'),
+('BSD-3-Clause', 'SPDX-License-Identifier: BSD-3-Clause'),
+('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+('GPL-3.0', 'SPDX-License-Identifier: GPL-3.0'),
+('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
+('CC-BY-4.0', 'Licensed under CC BY 4.0.'),
+('CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0.'),
+('CC0-1.0', 'This work is dedicated to the public domain under CC0 1.0.')),
+known AS (SELECT d, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM (SELECT name, trim(regexp_replace(c, '[\x20\n]+', ' ', 'g')) AS d FROM (SELECT name, replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(lower(txt), '(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$', '', 'g'), '[!-/:-@\[-`{-~©®™“”‘’«»–—…·•]+', ' ', 'g'), '[\x20\t\x0b\x0c\r]+', ' ', 'g'), 'licence', 'license'), 'sub license', 'sublicense'), 'non commercial', 'noncommercial'), 'favour', 'favor'), 'acknowledgement', 'acknowledgment'), 'organisation', 'organization'), 'authorisation', 'authorization'), 'per cent', 'percent'), 'https', 'http') AS c FROM known_text)) GROUP BY d),
+f AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$', '', 'g'), '[!-/:-@\[-`{-~©®™“”‘’«»–—…·•]+', ' ', 'g'), '[\x20\t\x0b\x0c\r]+', ' ', 'g'), 'licence', 'license'), 'sub license', 'sublicense'), 'non commercial', 'noncommercial'), 'favour', 'favor'), 'acknowledgement', 'acknowledgment'), 'organisation', 'organization'), 'authorisation', 'authorization'), 'per cent', 'percent'), 'https', 'http') AS c FROM documents),
+w AS (SELECT doc_id, trim(regexp_replace(c, '[\x20\n]+', ' ', 'g')) AS d FROM f),
+l AS (SELECT DISTINCT doc_id, trim(regexp_replace(x, '[\x20\n]+', ' ', 'g')) AS d FROM (SELECT doc_id, unnest(string_split(c, chr(10))) AS x FROM f)),
+n AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT doc_id, unnest(string_split(names, ',')) AS name FROM l JOIN known USING (d)) GROUP BY doc_id)
+SELECT w.doc_id, CASE WHEN w.d <> '' THEN sha256(w.d) END AS text_digest, known.names AS license, coalesce(n.notices, '') AS notices
+FROM w LEFT JOIN known ON w.d = known.d LEFT JOIN n ON w.doc_id = n.doc_id""",
 }
