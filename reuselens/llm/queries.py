@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, pii, quality, simhash
+from ..plans.materialize import new_path
+from . import licenses, pii, quality, sharding, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +39,19 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir), licenses.known_digests(spark))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen arrivals appended, compacted and read back from the last manifest."""
+    store = sharding.ShardStore(spark, new_path(spark, "shards"))
+    arrivals = documents(spark, sf_dir).withColumn("arrival", F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("int"))
+    store.append_batches(arrivals, "arrival")
+    store.compact()
+    store.vacuum()
+    rows = store.read()
+    return rows.select("doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
     "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
     "op6_quality": op6_quality,
@@ -102,4 +115,5 @@ l AS (SELECT DISTINCT doc_id, trim(regexp_replace(x, '[\x20\n]+', ' ', 'g')) AS
 n AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT doc_id, unnest(string_split(names, ',')) AS name FROM l JOIN known USING (d)) GROUP BY doc_id)
 SELECT w.doc_id, CASE WHEN w.d <> '' THEN sha256(w.d) END AS text_digest, known.names AS license, coalesce(n.notices, '') AS notices
 FROM w LEFT JOIN known ON w.d = known.d LEFT JOIN n ON w.doc_id = n.doc_id""",
+    "op2_sharding": r"""SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents""",
 }
