@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.materialize import new_path
-from . import licenses, pii, quality, sharding, simhash
+from . import bpe, licenses, pii, quality, sharding, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,20 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents encoded by ranks and decoded again."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = bpe.decode(bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
+    return found.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_bpe": op8_bpe,
     "op2_sharding": op2_sharding,
     "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
