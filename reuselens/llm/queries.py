@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.materialize import new_path
-from . import bpe, licenses, pii, quality, sharding, simhash
+from ..plans.materialize import materialize, new_path
+from . import bpe, licenses, packing, pii, quality, sharding, simhash
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenized documents packed into sequences of 1024 tokens."""
+    cut = packing.pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return packing.pack(materialize(cut, "pieces"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_packing": op5_packing,
     "op8_bpe": op8_bpe,
     "op2_sharding": op2_sharding,
     "op9_licenses": op9_licenses,
