@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.materialize import materialize, new_path
-from . import bpe, licenses, packing, pii, quality, sharding, simhash
+from . import bpe, licenses, packing, pii, quality, sharding, simhash, webp
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(materialize(cut, "pieces"))
 
 
+def op3_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents stored as lossless WebP, read back and described."""
+    stored = materialize(webp.store(documents(spark, sf_dir)), "media", codec="uncompressed")
+    return webp.features(webp.read_pixels(stored))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_webp": op3_webp,
     "op5_packing": op5_packing,
     "op8_bpe": op8_bpe,
     "op2_sharding": op2_sharding,
