@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.materialize import materialize, new_path
-from . import bpe, licenses, packing, pii, quality, sharding, simhash, webp
+from . import bpe, licenses, packing, pii, quality, sharding, simhash, suffix_dedup, webp
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +75,13 @@ def op3_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webp.features(webp.read_pixels(stored))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by repeated strings of 200 bytes, removed from whole documents."""
+    return suffix_dedup.deduplicated(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_webp": op3_webp,
     "op5_packing": op5_packing,
     "op8_bpe": op8_bpe,
