@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.materialize import materialize, new_path
-from . import bpe, licenses, packing, pii, quality, sharding, simhash, suffix_dedup, webp
+from . import bpe, compact_windows, licenses, packing, pii, quality, sharding, simhash, suffix_dedup, webp
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,13 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicated(documents(spark, sf_dir))
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate passages of fifty words or more, as pairs of documents."""
+    return compact_windows.near_passages(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_compact_windows": op7_compact_windows,
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_webp": op3_webp,
     "op5_packing": op5_packing,
