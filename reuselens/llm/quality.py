@@ -104,11 +104,8 @@ def _ratio(rule: Rule, m: dict[str, Column]) -> Column:
     return F.when(below == 0, F.lit(0.0)).otherwise(top / below)
 
 
-def judged(docs: DataFrame, keep: list[str], text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``keep`` columns, the measures, base_failed, kept and the names of failed rules."""
-    held = docs.select(*[F.col(f"`{c}`") for c in keep], measures(F.col(text_col)).alias("_m"))
-    m = {c: F.col(f"_m.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_repeat_words")}
-    m |= {"n_dup_lines": F.col("_m.lines.dup").cast("bigint"), "n_lines": F.col("_m.lines.n").cast("bigint")}
+def _verdict(m: dict[str, Column], rules: tuple[Rule, ...]) -> tuple[Column, Column]:
+    """base_failed, and the names of failed rules."""
     base = (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
     failures = []
     for r in rules:
@@ -119,7 +116,29 @@ def judged(docs: DataFrame, keep: list[str], text_col: str = "text", rules: tupl
         if r.high is not None:
             broken = broken | (x > r.high)
         failures.append(F.when((m["n_words"] >= r.min_words) & broken, F.lit(r.name)))
-    failed = F.filter(F.array(*failures), lambda x: x.isNotNull()) if failures else F.array().cast("array<string>")
+    return base, F.filter(F.array(*failures), lambda x: x.isNotNull()) if failures else F.array().cast("array<string>")
+
+
+def _named(m: Column) -> dict[str, Column]:
+    plain = {c: m[c] for c in ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_repeat_words")}
+    return plain | {"n_dup_lines": m["lines"]["dup"].cast("bigint"), "n_lines": m["lines"]["n"].cast("bigint")}
+
+
+def passes(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether a text is kept, as one predicate."""
+
+    def verdict(m: Column) -> Column:
+        base, failed = _verdict(_named(m), rules)
+        return ~base & (F.size(failed) == 0)
+
+    return let(measures(text), verdict)
+
+
+def judged(docs: DataFrame, keep: list[str], text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``keep`` columns, the measures, base_failed, kept and the names of failed rules."""
+    held = docs.select(*[F.col(f"`{c}`") for c in keep], measures(F.col(text_col)).alias("_m"))
+    m = _named(F.col("_m"))
+    base, failed = _verdict(m, rules)
     return held.select(
         *[F.col(f"`{c}`") for c in keep],
         *[m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words")],

@@ -214,3 +214,154 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = connected_components(links(reps, bucket)).select(F.col("node").alias("rep"), "component")
     named = reps.join(groups, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+# -- groups by similarity of texts, beyond three bits
+
+_WIDE_BLOCKS = 32
+_WIDE_DISTANCE = 18
+
+
+def wide_fingerprint(text: str | None) -> np.ndarray:
+    """A 512-bit SimHash of the distinct words of five bytes or more (of all words if there are none), as 32 blocks of 16 bits."""
+    words = set((text or "").encode("utf-8", "surrogatepass").lower().split())
+    words = {w for w in words if len(w) >= 5} or words
+    if not words:
+        return np.zeros(_WIDE_BLOCKS, np.uint16)
+    digest = xxhash.xxh3_128_digest
+    raw = b"".join([digest(w, k) for w in words for k in range(4)])
+    lanes = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 64)
+    total = np.unpackbits(lanes, axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * total > len(words)).view(np.uint16)
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        fps = [wide_fingerprint(t) for t in b.column(1).to_pylist()]
+        fp = np.array([f[:4].view(np.int64)[0] for f in fps], dtype=np.int64)
+        blocks = pa.array([f.astype(np.int32) for f in fps], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), blocks], names=["rep", "fp", "blocks"])
+
+
+def _nearest(bucket: int):
+    """Candidate pairs of sorted buckets: all close pairs of a small one, the
+    nearest rows of each row of a larger one. Holds ``bucket`` rows; the rows
+    of a bucket beyond that meet the ones before them in pieces of as many."""
+
+    def pairs_of(fp: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n, a_out, b_out = len(fp), [], []
+        step = max(1, (1 << 22) // n)
+        for s in range(0, n, step):
+            part = np.bitwise_count(fp[s : s + step, None] ^ fp[None, :]).astype(np.int16)
+            part[np.arange(len(part)), np.arange(s, s + len(part))] = 999
+            if n <= 32:
+                i, j = np.nonzero(part <= _WIDE_DISTANCE)
+            else:
+                # the nearest two, and the one that is nearest among smaller ids
+                i = np.repeat(np.arange(len(part)), 3)
+                two = np.argpartition(part, 1, axis=1)[:, :2]
+                smaller = np.where(rep[None, :] < rep[s : s + step, None], part, 998).argmin(axis=1)
+                j = np.column_stack([two, smaller]).ravel()
+                close = part[i, j] <= _WIDE_DISTANCE
+                i, j = i[close], j[close]
+            a_out.append(rep[i + s])
+            b_out.append(rep[j])
+        return np.concatenate(a_out), np.concatenate(b_out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, fp, rep = (np.empty(0, np.int64) for _ in range(3))
+
+        def out(parts):
+            a, b = (np.concatenate(x) for x in zip(*parts))
+            keep = a != b
+            a, b = np.maximum(a, b)[keep], np.minimum(a, b)[keep]
+            both = np.unique(np.stack([a, b]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["src", "dst"])
+
+        def solve(block, fp, rep):
+            if not len(block):
+                return
+            start = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            size = np.diff(np.r_[start, len(block)])
+            parts = []
+            for d in range(1, 32):  # small buckets, all together
+                small = np.repeat(size <= 32, size)
+                if len(block) <= d:
+                    break
+                at = np.flatnonzero(small[:-d] & (block[:-d] == block[d:]))
+                if not len(at):
+                    break
+                at = at[np.bitwise_count(fp[at] ^ fp[at + d]) <= _WIDE_DISTANCE]
+                parts.append((rep[at], rep[at + d]))
+            for k in np.flatnonzero(size > 32):
+                s = slice(start[k], start[k] + size[k])
+                parts.append(pairs_of(fp[s], rep[s]))
+            if parts:
+                yield out(parts)
+
+        for b in batches:
+            new = [b.column(k).to_numpy() for k in ("block", "fp", "rep")]
+            block, fp, rep = (np.concatenate(x) for x in zip((block, fp, rep), new))
+            if not len(block):
+                continue
+            cut = int(np.searchsorted(block, block[-1]))
+            yield from solve(block[:cut], fp[:cut], rep[:cut])
+            block, fp, rep = block[cut:], fp[cut:], rep[cut:]
+            while len(block) > bucket:
+                # keep a quarter as company for the rows that follow
+                yield from solve(block[:bucket], fp[:bucket], rep[:bucket])
+                block, fp, rep = (np.concatenate([x[: bucket // 4], x[bucket:]]) for x in (block, fp, rep))
+        yield from solve(block, fp, rep)
+
+    return run
+
+
+def _similar(shingle: int, similarity: float):
+    """Pairs of texts whose sets of word shingles are similar."""
+
+    def shingles(text: str) -> set[int]:
+        words = text.encode("utf-8", "surrogatepass").lower().split()
+        if len(words) <= shingle:
+            return {hash(tuple(words))}
+        return set(map(hash, zip(*[words[k:] for k in range(shingle)])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep, last, mine = [], None, set()
+            for x, y in zip(b.column("x_text").to_pylist(), b.column("y_text").to_pylist()):
+                if x is not last:
+                    last, mine = x, shingles(x)
+                other = shingles(y)
+                both = len(mine & other)
+                keep.append(both >= similarity * (len(mine) + len(other) - both))
+            yield pa.RecordBatch.from_arrays([b.column("src"), b.column("dst")], names=["src", "dst"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, bucket: int = 16384) -> DataFrame:
+    """``(doc_id, group_id)``: groups of texts whose word shingles have a
+    Jaccard similarity of ``similarity`` or more, by the smallest id.
+
+    Equal texts are folded. Texts share a bucket where one of 32 blocks of a
+    512-bit SimHash is equal, which texts that differ in up to 31 bits always
+    do; the first 64 bits then decide who is close, and the shingles of the two
+    texts whether the pair counts. Null and empty texts are groups of their own
+    kind: equal texts.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    keys = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("k1"), F.md5(F.coalesce("text", F.lit(""))).alias("k2")]
+    keyed = materialize(own.select("doc_id", *keys), "similar-keys")
+    firsts = materialize(keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "similar-firsts")
+    reps = firsts.select(F.col("rep").alias("doc_id"))
+    wide = materialize(own.where("text is not null").mapInArrow(_wide, "rep long, fp long, blocks array<int>"), "similar-wide")
+    rows = wide.join(reps.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "fp", F.posexplode("blocks").alias("at", "b"))
+    rows = rows.select((F.col("at") * F.lit(1 << 16) + F.col("b")).cast("long").alias("block"), "fp", "rep")
+    near = rows.repartition("block").sortWithinPartitions("block", "rep").mapInArrow(_nearest(bucket), "src long, dst long").distinct()
+    near = materialize(near, "similar-near")
+    texts = own.where("text is not null")
+    pairs = near.join(texts.select(F.col("doc_id").alias("src"), F.col("text").alias("x_text")), "src").join(texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("y_text")), "dst")
+    edges = pairs.mapInArrow(_similar(shingle, similarity), "src long, dst long")
+    groups = connected_components(edges).select(F.col("node").alias("rep"), "component")
+    named = firsts.join(groups, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("group_id"))
+    return keyed.join(named, ["k1", "k2"]).select("doc_id", "group_id")
