@@ -29,7 +29,7 @@ class BucketQueue:
         self.memory, self.held, self.file = memory, 0, None
 
     def push(self, bucket: int, suffix: np.ndarray, prefix: np.ndarray) -> None:
-        both = np.stack([suffix, prefix])
+        both = np.stack([suffix.astype(np.int32), prefix.astype(np.int32)])
         self.chunks[bucket].append(both)
         self.held += both.nbytes
         if self.held > self.memory:
@@ -57,7 +57,7 @@ class BucketQueue:
                 out.append(c)
             else:
                 self.file.seek(c[0])
-                out.append(np.frombuffer(self.file.read(8 * c[1][0] * c[1][1]), dtype=np.int64).reshape(c[1]))
+                out.append(np.frombuffer(self.file.read(4 * c[1][0] * c[1][1]), dtype=np.int32).reshape(c[1]))
         return out[0] if len(out) == 1 else np.concatenate(out, axis=1)
 
 
@@ -65,7 +65,7 @@ class Shard:
     """Strings of bytes put together with separators."""
 
     def __init__(self, strings: list[bytes], cap: int, memory: int = 256 << 20):
-        self.cap, self.memory = cap, memory
+        self.cap, self.memory, self.prefixes = cap, memory, True
         sizes = np.fromiter(map(len, strings), np.int64, len(strings))
         self.raw = np.frombuffer(b"\0".join(strings) + b"\0" + bytes(cap + 16), dtype=np.uint8)
         self.n = int(sizes.sum()) + len(strings)
@@ -81,16 +81,18 @@ class Shard:
         rising = self.text[last] < follow[last]
         rising[-1] = True
         self.s_type = np.repeat(rising, size)
-        self.run = np.repeat(last, size) - np.arange(self.n) + 1
+        self.run = (np.repeat(last, size) - np.arange(self.n) + 1).astype(np.int32)
         star = np.r_[False, self.s_type[1:] & ~self.s_type[:-1]]
         self.star = star
         self.stars = np.flatnonzero(star)
+        self.star_number = np.cumsum(star, dtype=np.int32) - 1
+        self.end = np.repeat(self.ends.astype(np.int32), sizes + 1)
 
     # -- comparisons of bytes
 
     def _rest(self, at: np.ndarray) -> np.ndarray:
         """Bytes before the separator."""
-        return self.ends[np.searchsorted(self.ends, at)] - at
+        return self.end[at] - at
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Common prefix of suffixes, word by word, up to the cap."""
@@ -116,14 +118,23 @@ class Shard:
     def _scan(self, queue: BucketQueue, keep: int, suffix: np.ndarray, prefix: np.ndarray, carry: np.ndarray, begun: np.ndarray) -> None:
         """Sends the predecessors of scanned suffixes (those of type ``keep``) to their buckets."""
         before = suffix - 1
-        ok = (suffix > 0) & (self.s_type[before] == keep)
-        ok &= self.text[before] > 0
+        target = self.text[before]
+        ok = (suffix > 0) & (self.s_type[before] == keep) & (target > 0)
         at = np.flatnonzero(ok)
+        if not self.prefixes:
+            target = target[at]
+            order = np.argsort(target, kind="stable")
+            at, target = at[order], target[order]
+            cut = np.flatnonzero(np.r_[True, target[1:] != target[:-1]]) if len(at) else at
+            before = before[at]
+            for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(at)]):
+                queue.push(int(target[s]), before[s:e], before[s:e])
+            return
         least = int(prefix.min())
         if not len(at):
             np.minimum(carry, least, out=carry)
             return
-        target = self.text[before[at]]
+        target = target[at]
         order = np.argsort(target, kind="stable")
         at, target = at[order], target[order]
         cut = np.flatnonzero(np.r_[True, target[1:] != target[:-1]])
@@ -162,7 +173,7 @@ class Shard:
                 parts.append(got)
                 last = int(got[0][-1])
                 self._scan(queue, 0, got[0], got[1], carry, begun)
-            lower[c] = np.concatenate(parts, axis=1) if parts else np.empty((2, 0), np.int64)
+            lower[c] = np.concatenate(parts, axis=1) if parts else np.empty((2, 0), np.int32)
             own, pre = stars[bounds[c] : bounds[c + 1]], prefixes[bounds[c] : bounds[c + 1]].copy()
             if len(own):
                 pre[0] = self._seam(last, int(own[0])) if last is not None else 0
@@ -175,14 +186,14 @@ class Shard:
                 parts.append(got)
                 last = int(got[0][-1])
                 self._scan(queue, 1, got[0], got[1], carry, begun)
-            upper[c] = np.concatenate(parts, axis=1) if parts else np.empty((2, 0), np.int64)
+            upper[c] = np.concatenate(parts, axis=1) if parts else np.empty((2, 0), np.int32)
             own = lower[c]
             if own.shape[1]:
                 pre = np.r_[0, own[1][:0:-1]]
                 suffix = own[0][::-1]
                 pre[0] = self._seam(last, int(suffix[0])) if last is not None else 0
                 self._scan(queue, 1, suffix, pre, carry, begun)
-        upper[0] = np.empty((2, 0), np.int64)
+        upper[0] = np.empty((2, 0), np.int32)
         return lower, upper
 
     # -- S* suffixes
@@ -191,10 +202,12 @@ class Shard:
         """S* suffixes in order: sort their substrings by induction, name them, rank the names."""
         stars, text = self.stars, self.text
         first = stars[np.argsort(text[stars], kind="stable")]
+        self.prefixes = False
         _, upper = self.induce(first, np.zeros(len(first), np.int64))
+        self.prefixes = True
         by_substring = np.concatenate([self.ends, *[u[0][::-1] for u in upper]])
         by_substring = by_substring[self.star[by_substring]]
-        index = np.searchsorted(stars, by_substring)
+        index = self.star_number[by_substring]
         following = np.r_[stars[1:], self.n - 1]
         a, b = by_substring[:-1], by_substring[1:]
         size_a, size_b = following[index[:-1]] - a, following[index[1:]] - b
@@ -245,7 +258,7 @@ def _ranked(names: np.ndarray) -> np.ndarray:
     while n and rank.max() < n - 1:
         key = rank * (n + 1)
         key[:-step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.r_[0, ranked[1:] != ranked[:-1]])

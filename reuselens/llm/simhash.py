@@ -82,7 +82,7 @@ def _signed(x: int) -> int:
 def _free_parts(mask: int) -> list[int]:
     """The unmasked bits in four parts, as masks."""
     free = [k for k in range(64) if not mask >> k & 1]
-    return [sum(1 << k for k in part) for part in np.array_split(free, DISTANCE + 1)]
+    return [sum(1 << int(k) for k in part) for part in np.array_split(free, DISTANCE + 1)]
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:

@@ -41,7 +41,7 @@ from ..plans.materialize import drop_path, materialize, new_path
 
 SPAN = 200
 GRAM = 16
-SEGMENT = 1 << 22
+SEGMENT = 1 << 20
 _POSITION_BITS = 24
 
 
@@ -75,14 +75,11 @@ def anchored_regions(raw: bytes, starts: np.ndarray, sizes: np.ndarray, span: in
     if width < want:
         low = np.minimum(low[: n], low[want - width : want - width + n])
     at = (low & np.uint64((1 << _POSITION_BITS) - 1)).astype(np.int64)
-    inside = np.zeros(n + 1, np.int8)
-    ok = sizes >= span
-    np.add.at(inside, starts[ok], 1)
-    np.add.at(inside, np.minimum(starts[ok] + sizes[ok] - span + 1, n), -1)
-    window = np.flatnonzero(np.cumsum(inside[:n]) > 0)
-    if not len(window):
+    count = np.maximum(sizes - span + 1, 0)
+    if not count.any():
         return tuple(np.empty(0, np.int64) for _ in range(4))
-    owner = np.searchsorted(starts, window, side="right") - 1
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), count)
+    window = np.arange(len(owner)) + np.repeat(starts - (np.cumsum(count) - count), count)
     at = at[window]
     first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])])
     count = np.diff(np.r_[first, len(window)])
@@ -178,7 +175,7 @@ def _cut_bytes(span: int):
     """Region bytes of documents, for the regions each document is asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
             for text, wanted in zip(b.column("text").to_pylist(), b.column("wanted").to_pylist()):
                 raw = text.encode("utf-8", "surrogatepass")
                 cols = list(zip(*[(w["anchor"], w["hi"], w["lo"], raw[w["start"] : w["start"] + w["n"] + span - 1], w["hot"]) for w in wanted]))
@@ -188,7 +185,7 @@ def _cut_bytes(span: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = 20_000, shard_bytes: int = 8 << 20, memory: int = 256 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = 20_000, shard_bytes: int = 4 << 20, memory: int = 256 << 20) -> DataFrame:
     """``(doc_id, spans)``: for each document that has any, the ranges [start,
     end) of bytes covered by repeated strings, sorted, overlapping ones apart."""
     spark = docs.sparkSession
@@ -196,15 +193,16 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = 20_000, shard_b
     regions(docs.select("doc_id", "text"), span).write.option("compression", "zstd").parquet(path)
     every = spark.read.schema(_REGION).parquet(path)
     again = every.groupBy("anchor").count().where("count > 1").select("anchor")
-    shared = materialize(every.join(again, "anchor", "left_semi"), "regions-shared")
+    shared = materialize(every.join(again.hint("shuffle_hash"), "anchor", "left_semi"), "regions-shared")
     drop_path(spark, path)
     folded = materialize(shared.groupBy("anchor", "hi", "lo").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "start", "n")).alias("one")), "regions-folded")
-    kinds = folded.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    ask = folded.join(kinds, "anchor").select(F.col("one.doc_id").alias("doc_id"), F.struct("anchor", "hi", "lo", F.col("one.start").alias("start"), F.col("one.n").alias("n"), (F.col("kinds") > hot).alias("hot")).alias("w"))
+    # regions met more than once are repeats as a whole: they are sorted only beside one that is not
+    kinds = folded.groupBy("anchor").agg(F.count("*").alias("kinds"), F.count_if(F.col("copies") == 1).alias("single")).where("kinds > 1 and single > 0")
+    ask = folded.join(kinds.hint("shuffle_hash"), "anchor").select(F.col("one.doc_id").alias("doc_id"), F.struct("anchor", "hi", "lo", F.col("one.start").alias("start"), F.col("one.n").alias("n"), (F.col("kinds") > hot).alias("hot")).alias("w"))
     # A document asks for its own regions only: their number is bounded by its length.
     asked = ask.groupBy("doc_id").agg(F.collect_list("w").alias("wanted"))
     text = docs.where("text is not null").select("doc_id", "text")
-    cut = materialize(text.join(asked, "doc_id").mapInArrow(_cut_bytes(span), "anchor long, hi long, lo long, bytes binary, hot boolean"), "region-bytes")
+    cut = materialize(text.join(asked.hint("shuffle_hash"), "doc_id").mapInArrow(_cut_bytes(span), "anchor long, hi long, lo long, bytes binary, hot boolean"), "region-bytes")
     volume = cut.where("not hot").agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0)).alias("b"), F.count("*").alias("n")).head()
     shards = max(1, math.ceil(volume.b / shard_bytes))
     sorted_ = cut.where("not hot").select("anchor", "hi", "lo", "bytes").repartition(shards, "anchor").mapInArrow(_sort_shard(span, memory), "anchor long, hi long, lo long, at int, size int")
@@ -213,7 +211,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = 20_000, shard_b
     digested = counted.join(common, ["w1", "w2"]).select("anchor", "hi", "lo", "at", F.lit(1).alias("size"))
     whole = folded.where("copies > 1").select("anchor", "hi", "lo", F.lit(0).alias("at"), F.col("one.n").alias("size"))
     parts = materialize(sorted_.union(digested).union(whole).groupBy("anchor", "hi", "lo").agg(F.collect_list(F.struct("at", "size")).alias("parts")), "region-repeats")
-    held = shared.select("doc_id", "start", "anchor", "hi", "lo").join(parts, ["anchor", "hi", "lo"])
+    held = shared.select("doc_id", "start", "anchor", "hi", "lo").join(parts.hint("shuffle_hash"), ["anchor", "hi", "lo"])
     spans = held.select("doc_id", F.explode(F.transform("parts", lambda p: F.struct((F.col("start") + p["at"]).alias("s"), (F.col("start") + p["at"] + p["size"] + (span - 1)).alias("e")))).alias("x"))
     return spans.groupBy("doc_id").agg(F.array_sort(F.collect_set("x")).alias("spans"))
 
@@ -250,4 +248,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *arrays], names=["doc_id", *names[:n]])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
-    return own.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return own.join(spans.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
