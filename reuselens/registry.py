@@ -2,13 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans.catalogue import ORACLE_SQL, QUERIES, flagship
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
