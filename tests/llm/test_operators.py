@@ -295,6 +295,28 @@ def test_passages(spark):
     assert sum(passage in (t or "") for t in texts.values()) == 1 and 51 not in texts and texts[52] == rows[14][1]
 
 
+def test_edited_passages_are_verified():
+    rng = random.Random(5)
+    new = lambda n: [f"w{rng.getrandbits(60)}" for _ in range(n)]
+    sequence = lambda words: compact_windows.shingle_hashes(compact_windows.word_hashes(" ".join(words)))
+    seen = 0
+    for size, at in [(50, [20]), (86, [43]), (100, [33, 66]), (50, [3]), *((rng.randint(50, 100), rng.sample(range(50), rng.randint(1, 3))) for _ in range(200))]:
+        words, ahead = new(size), new(rng.randint(0, 150))
+        other = [new(1)[0] if k in at else w for k, w in enumerate(words)]
+        x, y = sequence(ahead + words + new(30)), sequence(new(70) + other + new(90))
+        # brute force: the places that stretches of 46 shingles or more at 0.8 have in common with the other side
+        same = np.isin(sequence(words), sequence(other))
+        total = np.r_[0, np.cumsum(same)]
+        need = {k for s in range(size - 4) for e in range(s + 46, size - 3) if (m := total[e] - total[s]) >= 0.8 * (2 * (e - s) - m) for k in range(s, e) if same[k]}
+        found = compact_windows.verified(x, y, 46, 0.8)
+        for s, e, ys, ye in found:
+            a, b = set(x[s:e].tolist()), set(y[ys:ye].tolist())
+            assert len(a & b) >= 0.8 * len(a | b) and min(e - s, ye - ys) >= 46
+        assert need <= {k - len(ahead) for s, e, _, _ in found for k in range(s, e)}
+        seen += bool(need)
+    assert seen > 50
+
+
 def test_passages_on_tables(spark, texts):
     held = defaultdict(set)
     for i, t in texts.items():
