@@ -216,104 +216,77 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-# -- groups by similarity of texts, beyond three bits
+# -- groups by similarity of texts: bands of min-hashes over sets of word shingles
 
-_WIDE_BLOCKS = 32
-_WIDE_DISTANCE = 18
+#: A pair at Jaccard similarity 0.8 shares none of the bands with probability (1 - 0.8**6)**32 = 6e-5.
+_BANDS = 32
+_BAND_ROWS = 6
+_COEFFICIENTS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, _BANDS * _BAND_ROWS, 1), dtype=np.uint64) | np.array([1, 0], np.uint64)[:, None, None]
+#: Rounds with pivots go on while they would leave so many pairs a row and still take off a tenth.
+_LEFT_A_ROW = 2
 
 
-def wide_fingerprint(text: str | None) -> np.ndarray:
-    """A 512-bit SimHash of the distinct words of five bytes or more (of all words if there are none), as 32 blocks of 16 bits."""
-    words = set((text or "").encode("utf-8", "surrogatepass").lower().split())
-    words = {w for w in words if len(w) >= 5} or words
-    if not words:
-        return np.zeros(_WIDE_BLOCKS, np.uint16)
-    digest = xxhash.xxh3_128_digest
-    raw = b"".join([digest(w, k) for w in words for k in range(4)])
-    lanes = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 64)
-    total = np.unpackbits(lanes, axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * total > len(words)).view(np.uint16)
+def bands(text: str | None, shingle: int) -> np.ndarray:
+    """A key for each band of min-hashes of the set of word shingles, as signed longs."""
+    digest = xxhash.xxh3_64_intdigest
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    starts = max(1, len(words) - shingle + 1)
+    x = np.unique(np.fromiter((digest(b" ".join(words[k : k + shingle])) for k in range(starts)), np.uint64, starts))
+    low = np.full(_BANDS * _BAND_ROWS, 2**64 - 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for at in range(0, len(x), 4096):
+            low = np.minimum(low, (x[at : at + 4096] * _COEFFICIENTS[0] + _COEFFICIENTS[1]).min(axis=1))
+    rows = low.reshape(_BANDS, -1)
+    return np.array([digest(r.tobytes(), k) for k, r in enumerate(rows)], np.uint64).view(np.int64)
 
 
-def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        fps = [wide_fingerprint(t) for t in b.column(1).to_pylist()]
-        fp = np.array([f[:4].view(np.int64)[0] for f in fps], dtype=np.int64)
-        blocks = pa.array([f.astype(np.int32) for f in fps], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), blocks], names=["rep", "fp", "blocks"])
-
-
-def _nearest(bucket: int):
-    """Candidate pairs of sorted buckets: all close pairs of a small one, the
-    nearest rows of each row of a larger one. Holds ``bucket`` rows; the rows
-    of a bucket beyond that meet the ones before them in pieces of as many."""
-
-    def pairs_of(fp: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n, a_out, b_out = len(fp), [], []
-        step = max(1, (1 << 22) // n)
-        for s in range(0, n, step):
-            part = np.bitwise_count(fp[s : s + step, None] ^ fp[None, :]).astype(np.int16)
-            part[np.arange(len(part)), np.arange(s, s + len(part))] = 999
-            if n <= 32:
-                i, j = np.nonzero(part <= _WIDE_DISTANCE)
-            else:
-                # the nearest two, and the one that is nearest among smaller ids
-                i = np.repeat(np.arange(len(part)), 3)
-                two = np.argpartition(part, 1, axis=1)[:, :2]
-                smaller = np.where(rep[None, :] < rep[s : s + step, None], part, 998).argmin(axis=1)
-                j = np.column_stack([two, smaller]).ravel()
-                close = part[i, j] <= _WIDE_DISTANCE
-                i, j = i[close], j[close]
-            a_out.append(rep[i + s])
-            b_out.append(rep[j])
-        return np.concatenate(a_out), np.concatenate(b_out)
-
+def _banded(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, fp, rep = (np.empty(0, np.int64) for _ in range(3))
+        for b in batches:
+            keys = [bands(t, shingle) for t in b.column(1).to_pylist()]
+            rep = np.repeat(b.column(0).to_numpy(), _BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys) if keys else rep), pa.array(rep)], names=["band", "rep"])
 
-        def out(parts):
-            a, b = (np.concatenate(x) for x in zip(*parts))
-            keep = a != b
-            a, b = np.maximum(a, b)[keep], np.minimum(a, b)[keep]
-            both = np.unique(np.stack([a, b]), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["src", "dst"])
+    return run
 
-        def solve(block, fp, rep):
-            if not len(block):
-                return
-            start = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            size = np.diff(np.r_[start, len(block)])
-            parts = []
-            for d in range(1, 32):  # small buckets, all together
-                small = np.repeat(size <= 32, size)
-                if len(block) <= d:
-                    break
-                at = np.flatnonzero(small[:-d] & (block[:-d] == block[d:]))
-                if not len(at):
-                    break
-                at = at[np.bitwise_count(fp[at] ^ fp[at + d]) <= _WIDE_DISTANCE]
-                parts.append((rep[at], rep[at + d]))
-            for k in np.flatnonzero(size > 32):
-                s = slice(start[k], start[k] + size[k])
-                parts.append(pairs_of(fp[s], rep[s]))
-            if parts:
-                yield out(parts)
 
-        for b in batches:
-            new = [b.column(k).to_numpy() for k in ("block", "fp", "rep")]
-            block, fp, rep = (np.concatenate(x) for x in zip((block, fp, rep), new))
-            if not len(block):
-                continue
-            cut = int(np.searchsorted(block, block[-1]))
-            yield from solve(block[:cut], fp[:cut], rep[:cut])
-            block, fp, rep = block[cut:], fp[cut:], rep[cut:]
-            while len(block) > bucket:
-                # keep a quarter as company for the rows that follow
-                yield from solve(block[:bucket], fp[:bucket], rep[:bucket])
-                block, fp, rep = (np.concatenate([x[: bucket // 4], x[bucket:]]) for x in (block, fp, rep))
-        yield from solve(block, fp, rep)
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs of rows of one band and two components, of rows in order of both.
 
-    return run
+    Holds the rows of one band (16 bytes each).
+    """
+    band, component, rep = (np.empty(0, np.int64) for _ in range(3))
+
+    def solve(band, component, rep):
+        n = len(band)
+        if not n:
+            return
+        # each row meets the rows of its band that come after its component
+        new = np.r_[True, band[1:] != band[:-1]]
+        part = np.r_[True, new[1:] | (component[1:] != component[:-1])]
+        ends = np.r_[np.flatnonzero(new)[1:], n][np.cumsum(new) - 1]
+        begin = np.r_[np.flatnonzero(part)[1:], n][np.cumsum(part) - 1]
+        count = ends - begin
+        at = 0
+        total = np.cumsum(count)
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), side="right")))
+            c = count[at:to]
+            if c.any():
+                i = np.repeat(np.arange(at, to), c)
+                j = begin[i] + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(rep[i], rep[j])), pa.array(np.minimum(rep[i], rep[j]))], names=["src", "dst"])
+            at = to
+
+    for b in batches:
+        new = [b.column(k).to_numpy() for k in ("band", "component", "rep")]
+        band, component, rep = (np.concatenate(x) for x in zip((band, component, rep), new))
+        if not len(band):
+            continue
+        cut = int(np.searchsorted(band, band[-1]))
+        yield from solve(band[:cut], component[:cut], rep[:cut])
+        band, component, rep = band[cut:], component[cut:], rep[cut:]
+    yield from solve(band, component, rep)
 
 
 def _similar(shingle: int, similarity: float):
@@ -339,29 +312,53 @@ def _similar(shingle: int, similarity: float):
     return run
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, bucket: int = 16384) -> DataFrame:
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``(doc_id, group_id)``: groups of texts whose word shingles have a
     Jaccard similarity of ``similarity`` or more, by the smallest id.
 
-    Equal texts are folded. Texts share a bucket where one of 32 blocks of a
-    512-bit SimHash is equal, which texts that differ in up to 31 bits always
-    do; the first 64 bits then decide who is close, and the shingles of the two
-    texts whether the pair counts. Null and empty texts are groups of their own
-    kind: equal texts.
+    Equal texts are folded. Texts meet where one of 32 bands of min-hashes is
+    equal, which a pair at 0.8 misses with probability 6e-5, whatever the size
+    of the table or of the band. All pairs that meet are checked on their
+    shingles, but for those that other pairs have linked by then: first, rounds
+    in which the rows of a band meet one pivot, then all rows that are still
+    apart. Null and empty texts are groups of their own kind: equal texts.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     keys = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("k1"), F.md5(F.coalesce("text", F.lit(""))).alias("k2")]
     keyed = materialize(own.select("doc_id", *keys), "similar-keys")
     firsts = materialize(keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "similar-firsts")
-    reps = firsts.select(F.col("rep").alias("doc_id"))
-    wide = materialize(own.where("text is not null").mapInArrow(_wide, "rep long, fp long, blocks array<int>"), "similar-wide")
-    rows = wide.join(reps.withColumnRenamed("doc_id", "rep"), "rep", "left_semi").select("rep", "fp", F.posexplode("blocks").alias("at", "b"))
-    rows = rows.select((F.col("at") * F.lit(1 << 16) + F.col("b")).cast("long").alias("block"), "fp", "rep")
-    near = rows.repartition("block").sortWithinPartitions("block", "rep").mapInArrow(_nearest(bucket), "src long, dst long").distinct()
-    near = materialize(near, "similar-near")
-    texts = own.where("text is not null")
-    pairs = near.join(texts.select(F.col("doc_id").alias("src"), F.col("text").alias("x_text")), "src").join(texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("y_text")), "dst")
-    edges = pairs.mapInArrow(_similar(shingle, similarity), "src long, dst long")
+    texts = materialize(own.where("text is not null").join(firsts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "similar-texts")
+    rows = materialize(texts.mapInArrow(_banded(shingle), "band long, rep long"), "similar-bands")
+    met = rows.groupBy("band").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("band")
+    rows = materialize(rows.join(met.hint("shuffle_hash"), "band", "left_semi"), "similar-bands").withColumn("component", F.col("rep"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        sides = [texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"{t}_text")) for c, t in (("src", "x"), ("dst", "y"))]
+        return materialize(pairs.join(sides[0], "src").join(sides[1], "dst").mapInArrow(_similar(shingle, similarity), "src long, dst long"), "similar-edges")
+
+    def labelled(rows: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        groups = materialize(connected_components(edges).select(F.col("node").alias("rep"), "component"), "similar-components")
+        rows = rows.select("band", "rep").join(groups, "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
+        mixed = rows.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("band")
+        return groups, materialize(rows.join(mixed, "band", "left_semi"), "similar-rows")
+
+    edges = tried = groups = left = None
+    for k in range(1 << 10):
+        pivot = rows.groupBy("band").agg(F.min_by(F.struct("rep", "component"), F.struct(F.xxhash64("rep", F.lit(k)), "rep")).alias("p"))
+        pairs = rows.join(pivot, "band").where(F.col("component") != F.col("p.component")).select(F.greatest("rep", "p.rep").alias("src"), F.least("rep", "p.rep").alias("dst")).distinct()
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["src", "dst"], "left_anti"), "similar-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        found = checked(pairs)
+        edges = found if edges is None else edges.unionByName(found)
+        groups, rows = labelled(rows, edges)
+        sizes = rows.groupBy("band", "component").agg(F.count("*").cast("double").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"))
+        n, now = sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
+        if not n or now <= _LEFT_A_ROW * n or (left is not None and now > 0.9 * left):
+            break
+        left = now
+    apart = rows.repartition("band").sortWithinPartitions("band", "component", "rep").mapInArrow(_apart, "src long, dst long").distinct()
+    apart = materialize(apart.join(tried, ["src", "dst"], "left_anti"), "similar-pairs")
+    edges = edges.unionByName(checked(apart))
     groups = connected_components(edges).select(F.col("node").alias("rep"), "component")
     named = firsts.join(groups, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("group_id"))
     return keyed.join(named, ["k1", "k2"]).select("doc_id", "group_id")

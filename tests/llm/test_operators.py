@@ -217,6 +217,29 @@ def test_similar_documents(spark):
     assert [got[k] for k in (1, 2, 3, 4)] == [1, 1, 1, 4] and got[6] == got[7] == got[5]
 
 
+def test_similar_documents_against_all_pairs(spark):
+    rng = random.Random(11)
+    new = lambda n: [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    texts = []
+    for n in range(40, 120):  # words put in at one place, at similarities around 0.8
+        words, k = new(n), rng.randrange(n)
+        texts += [words, words[:k] + new(rng.randint(n // 16, n // 6)) + words[k:]]
+    frame = new(200)  # a source of texts that are alike but under 0.8, some with a partner over it
+    for _ in range(80):
+        own = list(frame)
+        for k in rng.sample(range(200), 7):
+            own[k] = new(1)[0]
+        texts.append(own)
+        if rng.random() < 0.3:
+            texts.append(own[:90] + new(12) + own[90:])
+    rng.shuffle(texts)
+    rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
+    held = {k: brute.shingles(t) for k, t in rows}
+    linked = [(a, b) for a in held for b in range(a) if len(held[a] & held[b]) >= 0.8 * len(held[a] | held[b])]
+    got = {r.doc_id: r.group_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(linked) > 40 and got == brute.components(list(held), linked)
+
+
 # 5
 
 
