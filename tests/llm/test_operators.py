@@ -340,6 +340,20 @@ def test_edited_passages_are_verified():
     assert seen > 50
 
 
+def test_passages_of_texts_in_parts(spark):
+    rng = random.Random(8)
+    new = lambda n: " ".join(f"w{rng.getrandbits(40)}" for _ in range(n))
+    rows, need = [], {}
+    for k in range(24):  # passages before, across and after the cuts, one longer than a part
+        passage, ahead = new(700 if k == 0 else 80), (37 * k, 900 - 31 * k)
+        need[2 * k] = (ahead[0], ahead[0] + len(passage.split()))
+        rows += [(2 * k + i, " ".join([new(n), passage, new(1000 - n)]).strip()) for i, n in enumerate(ahead)]
+    found = compact_windows.near_passages(spark.createDataFrame(rows, "doc_id long, text string"), hashes=8, part=300).collect()
+    for doc, (start, end) in need.items():
+        held = {k for r in found if r.doc_id == doc and r.other_id == doc + 1 for k in range(r.start, r.end)}
+        assert held >= set(range(start, end))
+
+
 def test_passages_on_tables(spark, texts):
     held = defaultdict(set)
     for i, t in texts.items():
