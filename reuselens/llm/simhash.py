@@ -253,7 +253,7 @@ def _banded(shingle: int):
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All pairs of rows of one band and two components, of rows in order of both.
 
-    Holds the rows of one band (16 bytes each).
+    Holds the rows of one band and one batch.
     """
     band, component, rep = (np.empty(0, np.int64) for _ in range(3))
 
