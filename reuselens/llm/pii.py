@@ -15,13 +15,15 @@ but counts of patterns leaves the executors. Positions are code points.
 Edge cases: null text is empty text; a document without personal data has zero
 counts and empty digests; repeated rows are scanned alike, each for itself;
 columns not named in ``carry`` are dropped before the scan; an empty table
-gives an empty table. Scans take time in proportion to the text also where a
-run of letters or digits is very long, since a run is entered only at its
-start or where the last match ended.
+gives an empty table. Very long texts take time in proportion to n log n for n
+matches: places are sums by doubling, slices are cut from blocks, and a run of
+letters or digits is entered only at its start or where the last match ended.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,31 +50,41 @@ _SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
 _NO_SPANS = f"array<{_SPAN}>"
 
 
+#: Distances of a scan by doubling; an array has fewer than 2**31 elements.
+_STEPS = [1 << k for k in range(31)]
+_BLOCK = 256
+
+
+def _scan(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """``combine`` of all elements up to each one: a scan by doubling, log n passes over an array of longs."""
+    steps = F.filter(F.array(*[F.lit(k) for k in _STEPS]), lambda k: k < F.size(values))
+    return F.aggregate(steps, values, lambda a, k: F.transform(a, lambda x, i: F.when(i >= k, combine(a[i - k], x)).otherwise(x)))
+
+
 def _placed(text: Column, pattern: str, kind: str) -> Column:
-    """All matches with their places: the gaps between matches give the starts."""
-
-    def starts(found: Column, gaps: Column) -> Column:
-        walk = F.aggregate(
-            F.sequence(F.lit(0), F.size(found) - 1),
-            F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_NO_SPANS).alias("out")),
-            lambda s, i: let(
-                s["at"] + F.char_length(gaps[i]),
-                lambda a: F.struct(
-                    (a + F.char_length(found[i])).alias("at"),
-                    F.concat(
-                        s["out"],
-                        F.array(
-                            F.struct(
-                                F.lit(kind).alias("kind"), a.cast("bigint").alias("start"), (a + F.char_length(found[i])).cast("bigint").alias("end"), found[i].alias("value")
-                            )
-                        ),
-                    ).alias("out"),
-                ),
-            ),
-        )
-        return F.when(F.size(found) == 0, F.array().cast(_NO_SPANS)).otherwise(walk["out"])
+    """All matches with their places: sums over the gaps between matches and the matches give the ends."""
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), 0), lambda found: let(F.split(text, pattern, -1), lambda gaps: starts(found, gaps)))
+    def spans(found: Column, gaps: Column) -> Column:
+        sizes = F.transform(found, lambda v, i: (F.char_length(gaps[i]) + F.char_length(v)).cast("bigint"))
+        ends = lambda x: _scan(x, lambda a, b: a + b)
+        span = lambda v, end: F.struct(F.lit(kind).alias("kind"), (end - F.char_length(v)).alias("start"), end.alias("end"), v.alias("value"))
+        return let(let(sizes, ends), lambda e: F.transform(found, lambda v, i: span(v, e[i])))
+
+    none = F.array().cast(_NO_SPANS)
+    return let(F.regexp_extract_all(text, F.lit(pattern), 0), lambda found: F.when(F.size(found) == 0, none).otherwise(let(F.split(text, pattern, -1), lambda gaps: spans(found, gaps))))
+
+
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``_BLOCK`` code points, so that a slice isn't searched from the start of the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), 0)
+
+
+def _slice(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points [start, end)."""
+    first = F.floor(start / _BLOCK)
+    count = F.floor((end - 1) / _BLOCK) - first + 1
+    near = F.array_join(F.slice(blocks, (first + 1).cast("int"), F.greatest(count, F.lit(0)).cast("int")), "")
+    return F.substring(near, (start - first * _BLOCK + 1).cast("int"), (end - start).cast("int"))
 
 
 def _digits(value: Column) -> Column:
@@ -107,13 +119,29 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(F.instr(text, NEEDS[kind]) > 0, found).otherwise(F.array().cast(_NO_SPANS))
 
 
-def _context(text: Column, start: Column) -> Column:
+def _context(blocks: Column, start: Column) -> Column:
     """The two words before a place, lower case; null where there aren't two."""
-    near = F.substring(text, F.greatest(start - 63, F.lit(1)).cast("int"), F.least(start, F.lit(64)).cast("int"))
+    near = _slice(blocks, F.greatest(start - 64, F.lit(0)), start)
     found = F.regexp_extract(F.lower(near), r"(?:^|\s)(\S+\s+\S+)\s+\S*$", 1)
     return F.nullif(F.regexp_replace(found, r"\s+", " "), F.lit(""))
 
 
+def _free(tokens: Column, base: Column) -> Column:
+    """The tokens that no base span overlaps: sorted together, the greatest end
+    of the base spans before a token and the least start of those after it decide."""
+    bounds = lambda s, own: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(own).alias("token"), s.alias("s"))
+    both = F.array_sort(F.concat(F.transform(base, lambda b: bounds(b, False)), F.transform(tokens, lambda t: bounds(t, True))))
+    top = F.lit((1 << 62)).cast("bigint")
+
+    def kept(rows: Column) -> Column:
+        before = _scan(F.transform(rows, lambda r: F.when(r["token"], F.lit(0).cast("bigint")).otherwise(r["end"])), F.greatest)
+        after = F.reverse(_scan(F.reverse(F.transform(rows, lambda r: F.when(r["token"], top).otherwise(r["start"]))), F.least))
+        clear = lambda r, i, ends, starts: r["token"] & (ends[i] <= r["start"]) & (starts[i] >= r["end"])
+        return let(before, lambda ends: let(after, lambda starts: F.transform(F.filter(rows, lambda r, i: clear(r, i, ends, starts)), lambda r: r["s"])))
+
+    return F.when((F.size(base) == 0) | (F.size(tokens) == 0), tokens).otherwise(let(both, kept))
+
+
 def _slots(text: Column, base: Column) -> Column:
     """Base spans and other identifier-like tokens, with their contexts."""
     trimmed = F.transform(
@@ -126,19 +154,16 @@ def _slots(text: Column, base: Column) -> Column:
             ),
         ),
     )
-    free = F.filter(trimmed, lambda t: (F.char_length(t["value"]) >= 4) & ~F.exists(base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    seeds = F.transform(base, lambda b: b)
-    return F.transform(
-        F.concat(seeds, free),
-        lambda s: F.struct(
-            s["kind"].alias("kind"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            F.xxhash64(s["value"]).alias("value"),
-            _context(text, s["start"]).alias("context"),
-            ((s["kind"] != LEARNED) | F.coalesce(s["value"].rlike(f"^{SECRET}$"), F.lit(False))).alias("seed"),
-        ),
+    free = let(F.filter(trimmed, lambda t: F.char_length(t["value"]) >= 4), lambda t: _free(t, base))
+    slot = lambda blocks, s: F.struct(
+        s["kind"].alias("kind"),
+        s["start"].alias("start"),
+        s["end"].alias("end"),
+        F.xxhash64(s["value"]).alias("value"),
+        _context(blocks, s["start"]).alias("context"),
+        ((s["kind"] != LEARNED) | F.coalesce(s["value"].rlike(f"^{SECRET}$"), F.lit(False))).alias("seed"),
     )
+    return let(F.concat(base, free), lambda every: F.when(F.size(every) > 0, let(_blocks(text), lambda blocks: F.transform(every, lambda s: slot(blocks, s)))))
 
 
 def learn_patterns(slots: DataFrame, rounds: int = 3, min_seeds: int = 5, min_score: float = 0.8) -> DataFrame:
@@ -150,14 +175,14 @@ def learn_patterns(slots: DataFrame, rounds: int = 3, min_seeds: int = 5, min_sc
     graph = slots.where("context is not null").groupBy("context", "value").agg(F.max("seed").alias("seed"))
     graph = materialize(graph, "pii-graph")
     able = graph.groupBy("context").agg(F.count_if("seed").alias("seeds")).where(F.col("seeds") >= min_seeds)
-    graph = materialize(graph.join(able, "context"), "pii-graph")
+    graph = materialize(graph.join(able, "context"), "pii-graph", consumed=(graph,))
     scored = graph.withColumn("s", F.col("seed").cast("double"))
     patterns = None
     for _ in range(rounds):
         patterns = scored.groupBy("context").agg(F.avg("s").alias("score"), F.first("seeds").alias("seeds"))
         doubts = graph.join(patterns.select("context", "score"), "context").groupBy("value").agg(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))).alias("d"))
         scored = graph.join(doubts, "value").withColumn("s", F.when(F.col("seed"), F.lit(1.0)).otherwise(1 - F.exp("d")))
-    return patterns.where(F.col("score") >= min_score)
+    return materialize(patterns.where(F.col("score") >= min_score), "pii-patterns", consumed=(graph,))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), rounds: int = 3, min_seeds: int = 5, min_score: float = 0.8) -> DataFrame:
@@ -165,22 +190,28 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
 
     ``base`` and ``spans`` are arrays of (kind, start, end, ...) by kind as
     listed, then start; ``spans`` are ``base`` and the learned ones.
+
+    The patterns are learned from a table of slots, which holds no text. The
+    learned spans depend on the text alone, so they are joined to the rows of
+    a second scan by id and digest of the text: repeated rows get them alike.
     """
     whole = F.coalesce(F.col("_text"), F.lit(""))
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(None).cast("int").alias("_none")]).alias("_carry"))
+    keyed = own.withColumns({"_k1": F.xxhash64("_id", whole), "_k2": F.unhex(F.md5(whole))})
     base = F.concat(*[base_spans(whole, k) for k in KINDS])
-    both = let(base, lambda b: F.struct(F.transform(b, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("base"), _slots(whole, b).alias("slots")))
-    rows = own.select("_id", "_carry", F.monotonically_increasing_id().alias("_row"), both.alias("_b")).select("_id", "_carry", "_row", "_b.base", "_b.slots")
-    rows = materialize(rows, "pii-rows")
-    slots = rows.select("_row", F.explode("slots").alias("s")).select("_row", "s.*")
-    patterns = materialize(learn_patterns(slots, rounds, min_seeds, min_score), "pii-patterns")
+    slots = keyed.select("_k1", "_k2", let(base, lambda b: _slots(whole, b)).alias("slots")).where("slots is not null")
+    table = materialize(slots, "pii-slots")
+    slots = table.select("_k1", "_k2", F.explode("slots").alias("s")).select("_k1", "_k2", "s.*")
+    patterns = learn_patterns(slots, rounds, min_seeds, min_score)
     learned = (
         slots.where(F.col("kind") == LEARNED)
         .join(patterns.select("context"), "context", "left_semi")
-        .groupBy("_row")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("kind"), "start", "end"))).alias("more"))
+        .groupBy("_k1", "_k2")
+        .agg(F.array_sort(F.collect_set(F.struct(F.col("kind"), "start", "end"))).alias("more"))
     )
-    return rows.join(learned, "_row", "left").select(
+    learned = materialize(learned, "pii-learned", consumed=(table,))
+    found = keyed.withColumn("base", F.transform(base, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
+    return found.join(learned, ["_k1", "_k2"], "left").select(
         F.col("_id").alias(id_col),
         *[F.col("_carry")[c].alias(c) for c in carry],
         "base",
@@ -194,22 +225,18 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; overlapping spans become one."""
+    """The text with each span replaced by its kind in brackets; overlapping spans become one, of the kind that starts first."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    parts = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(
-                    a["out"],
-                    F.array(
-                        F.concat(F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-                    ),
-                ).alias("out"),
-            )
-        ),
-    )
-    joined = let(parts, lambda p: F.concat(F.array_join(p["out"], ""), F.substring(text, (p["at"] + 1).cast("int"), F.char_length(text))))
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+
+    def joined(spans: Column, ends: Column) -> Column:
+        heads = F.filter(F.transform(spans, lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda h: F.when(h["i"] == 0, True).otherwise(h["s"]["start"] >= ends[h["i"] - 1]))
+
+        def pieces(blocks: Column, heads: Column) -> Column:
+            piece = lambda h: F.concat(_slice(blocks, F.when(h["i"] == 0, F.lit(0).cast("bigint")).otherwise(ends[h["i"] - 1]), h["s"]["start"]), F.lit("["), F.upper(h["s"]["kind"]), F.lit("]"))
+            rest = _slice(blocks, F.element_at(ends, -1), F.char_length(text).cast("bigint"))
+            return F.concat(F.array_join(F.transform(heads, piece), ""), rest)
+
+        return let(heads, lambda h: let(_blocks(text), lambda blocks: pieces(blocks, h)))
+
+    whole = let(ordered, lambda o: let(_scan(F.transform(o, lambda s: s["end"]), F.greatest), lambda ends: joined(o, ends)))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)

@@ -354,6 +354,42 @@ def test_passages_of_texts_in_parts(spark):
         assert held >= set(range(start, end))
 
 
+def test_recall_of_edited_passages(spark):
+    """Passages of 50 to 200 words with one edit in 25 words or fewer, in other prose, of one common key or not."""
+    rng = random.Random(11)
+    new = lambda n: [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    sequence = lambda words: compact_windows.shingle_hashes(compact_windows.word_hashes(" ".join(words)))
+    common = new(24)  # too short a passage, in every third text
+    rows, need = [], set()
+    for k in range(240):
+        words = new(rng.randint(50, 200))
+        other = list(words)
+        for at in rng.sample(range(len(words)), rng.randint(1, max(1, len(words) // 25))):
+            other[at] = rng.choice([new(1)[0], words[at - 1], "of"])
+        if k % 3 == 0:
+            words, other = common + words, common + other
+        rows += [(2 * k + i, " ".join(new(rng.randint(0, 150)) + w + new(rng.randint(0, 150)))) for i, w in enumerate((words, other))]
+        if len(compact_windows.verified(sequence(words), sequence(other), 46, 0.8)):
+            need.add(2 * k)
+    found = compact_windows.near_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert all(r.doc_id // 2 == r.other_id // 2 for r in found)
+    caught = need & {r.doc_id for r in found}
+    assert len(need) > 150 and len(caught) >= 0.95 * len(need), (len(need), len(caught))
+
+
+def test_windows_that_fail_meet_others(spark):
+    """Pairs that share a short passage with many texts, and only with each other a whole one."""
+    rng = random.Random(12)
+    new = lambda n: [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    common = new(40)
+    rows = []
+    for k in range(30):
+        words = new(12) + common + new(8)
+        rows += [(100 * k + i, " ".join(new(60) + words + new(60))) for i in range(2)]
+    found = compact_windows.near_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {(r.doc_id, r.other_id) for r in found if r.doc_id < r.other_id} == {(100 * k, 100 * k + 1) for k in range(30)}
+
+
 def test_passages_on_tables(spark, texts):
     held = defaultdict(set)
     for i, t in texts.items():
