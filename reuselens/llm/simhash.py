@@ -312,37 +312,37 @@ def _similar(shingle: int, similarity: float):
     return run
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``(doc_id, group_id)``: groups of texts whose word shingles have a
-    Jaccard similarity of ``similarity`` or more, by the smallest id.
-
-    Equal texts are folded. Texts meet where one of 32 bands of min-hashes is
-    equal, which a pair at 0.8 misses with probability 6e-5, whatever the size
-    of the table or of the band. All pairs that meet are checked on their
-    shingles, but for those that other pairs have linked by then: first, rounds
-    in which the rows of a band meet one pivot, then all rows that are still
-    apart. Null and empty texts are groups of their own kind: equal texts.
-    """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keys = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("k1"), F.md5(F.coalesce("text", F.lit(""))).alias("k2")]
-    keyed = materialize(own.select("doc_id", *keys), "similar-keys")
-    firsts = materialize(keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "similar-firsts")
-    texts = materialize(own.where("text is not null").join(firsts.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "similar-texts")
-    rows = materialize(texts.mapInArrow(_banded(shingle), "band long, rep long"), "similar-bands")
+def _similar_texts(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, k1, k2, h)`` of all rows, with digests of the text and of the
+    row, and ``(k1, k2, component)`` of all texts, where ``component`` numbers the groups."""
+    whole = F.coalesce(F.col(text_col), F.lit(""))
+    digests = [F.xxhash64(whole).alias("k1"), F.unhex(F.md5(whole)).alias("k2")]
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole.alias("text"), *digests, F.xxhash64(*plain).alias("h"))
+    keyed = materialize(own.select("doc_id", "k1", "k2", "h"), "similar-keys")
+    # every text has a number of its own; the row with the least id and digest carries it
+    firsts = keyed.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h")).alias("one"))
+    firsts = materialize(firsts.select("k1", "k2", F.monotonically_increasing_id().alias("rep"), F.col("one.doc_id").alias("doc_id"), F.col("one.h").alias("h")), "similar-firsts")
+    same = [own["k1"] == firsts["k1"], own["k2"] == firsts["k2"], own["h"] == firsts["h"], own["doc_id"].eqNullSafe(firsts["doc_id"])]
+    texts = materialize(own.join(firsts, same).select("rep", "text"), "similar-texts")
+    rows = materialize(texts.select("rep", "text").mapInArrow(_banded(shingle), "band long, rep long"), "similar-bands")
     met = rows.groupBy("band").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("band")
-    rows = materialize(rows.join(met.hint("shuffle_hash"), "band", "left_semi"), "similar-bands").withColumn("component", F.col("rep"))
+    several = rows.join(met.hint("shuffle_hash"), "band", "left_semi").select("band", "rep", F.col("rep").alias("component"))
+    rows = materialize(several, "similar-rows", consumed=(rows,))
 
     def checked(pairs: DataFrame) -> DataFrame:
-        sides = [texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"{t}_text")) for c, t in (("src", "x"), ("dst", "y"))]
+        sides = [texts.select(F.col("rep").alias(c), F.col("text").alias(f"{t}_text")) for c, t in (("src", "x"), ("dst", "y"))]
         return materialize(pairs.join(sides[0], "src").join(sides[1], "dst").mapInArrow(_similar(shingle, similarity), "src long, dst long"), "similar-edges")
 
-    def labelled(rows: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-        groups = materialize(connected_components(edges).select(F.col("node").alias("rep"), "component"), "similar-components")
-        rows = rows.select("band", "rep").join(groups, "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
-        mixed = rows.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("band")
-        return groups, materialize(rows.join(mixed, "band", "left_semi"), "similar-rows")
+    def components(edges: DataFrame) -> DataFrame:
+        return connected_components(edges).select(F.col("node").alias("rep"), "component")
+
+    def labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
+        named = rows.select("band", "rep").join(components(edges), "rep", "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
+        mixed = named.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("band")
+        return materialize(named.join(mixed, "band", "left_semi"), "similar-rows", consumed=(rows,))
 
-    edges = tried = groups = left = None
+    edges = tried = left = None
     for k in range(1 << 10):
         pivot = rows.groupBy("band").agg(F.min_by(F.struct("rep", "component"), F.struct(F.xxhash64("rep", F.lit(k)), "rep")).alias("p"))
         pairs = rows.join(pivot, "band").where(F.col("component") != F.col("p.component")).select(F.greatest("rep", "p.rep").alias("src"), F.least("rep", "p.rep").alias("dst")).distinct()
@@ -350,15 +350,47 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = checked(pairs)
         edges = found if edges is None else edges.unionByName(found)
-        groups, rows = labelled(rows, edges)
+        rows = labelled(rows, edges)
         sizes = rows.groupBy("band", "component").agg(F.count("*").cast("double").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"))
         n, now = sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
         if not n or now <= _LEFT_A_ROW * n or (left is not None and now > 0.9 * left):
             break
         left = now
     apart = rows.repartition("band").sortWithinPartitions("band", "component", "rep").mapInArrow(_apart, "src long, dst long").distinct()
-    apart = materialize(apart.join(tried, ["src", "dst"], "left_anti"), "similar-pairs")
+    apart = materialize(apart.join(tried, ["src", "dst"], "left_anti"), "similar-pairs", consumed=(rows,))
     edges = edges.unionByName(checked(apart))
-    groups = connected_components(edges).select(F.col("node").alias("rep"), "component")
-    named = firsts.join(groups, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("group_id"))
-    return keyed.join(named, ["k1", "k2"]).select("doc_id", "group_id")
+    named = firsts.join(components(edges), "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
+    return keyed, materialize(named, "similar-groups", consumed=(texts, firsts, apart))
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``(doc_id, group_id)``: groups of texts whose word shingles have a
+    Jaccard similarity of ``similarity`` or more, by the smallest id.
+
+    Equal texts are folded. Texts meet where one of 32 bands of min-hashes is
+    equal, which a pair at 0.8 misses with probability 6e-5, whatever the size
+    of the table or of the band. All pairs that meet are checked on their
+    shingles, but for those that other pairs have linked by then: first, rounds
+    in which the rows of a band meet one pivot, then all rows that are still
+    apart. Null is the empty text, and empty texts are one group.
+    """
+    keyed, groups = _similar_texts(docs, id_col, text_col, shingle, similarity)
+    ids = keyed.groupBy("k1", "k2").agg(F.min("doc_id").alias("first")).join(groups, ["k1", "k2"])
+    least = ids.groupBy("component").agg(F.min("first").alias("group_id"))
+    return keyed.select("doc_id", "k1", "k2").join(groups.join(least, "component").select("k1", "k2", "group_id"), ["k1", "k2"]).select("doc_id", "group_id")
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of ``docs`` for each group of :func:`similar_documents`: that of
+    the smallest id, and of the rows with this id the one of the least digest.
+
+    Null ids come last; one of rows that are equal in all columns stays.
+    """
+    keyed, groups = _similar_texts(docs, id_col, text_col, shingle, similarity)
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2", "h")
+    best = keyed.groupBy("k1", "k2").agg(F.min(order).alias("one")).join(groups, ["k1", "k2"]).groupBy("component").agg(F.min("one").alias("one"))
+    best = materialize(best.select("one.doc_id", "one.k1", "one.h"), "similar-best", consumed=(keyed, groups))
+    plain = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_k1"), F.xxhash64(*plain).alias("_h"))
+    same = rows["_id"].eqNullSafe(best["doc_id"]) & (rows["_k1"] == best["k1"]) & (rows["_h"] == best["h"])
+    return rows.join(best, same, "left_semi").dropDuplicates(["_id", "_k1", "_h"]).select("row.*")
