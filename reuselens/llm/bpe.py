@@ -9,8 +9,9 @@ that died; each is a walk of logarithmic length to the root.
 
 Pieces of up to ``WIDE`` bytes are encoded together, one tree a row of an
 array; longer ones have a tree of their own, so a piece of n bytes takes
-n log n steps however long it is. A bounded memo keeps pieces that a worker has
-met; it changes the time, not the result.
+n log n steps however long it is. A memo of at most ``MEMO_BYTES`` keeps pieces
+of up to ``WIDE`` bytes that a worker has met; it changes the time, not the
+result.
 
 Edge cases: null and empty texts have no ids; white space alone, any script and
 unassigned characters are bytes like others; ids above the vocabulary raise on
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 
 NONE = np.int64(1) << 62
 WIDE = 128
-MEMO = 400_000
+MEMO_BYTES = 64 << 20
+#: What a piece takes in the memo beside its own bytes and eight for each id: two objects and a place in the table.
+_ENTRY_BYTES = 210
 _TREE_CELLS = 1 << 21
 
 
@@ -45,23 +48,35 @@ class Vocabulary:
         self.tokens: list[bytes | None] = [None] * size
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        # (left id, right id) -> id, for each cut of each token into two tokens
-        self.pairs = {}
+        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo_bytes = 0
+
+    @cached_property
+    def byte_ids(self) -> np.ndarray:
+        return np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """(left id, right id) -> id, for each cut of each token into two tokens; only encoders need it."""
+        out = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
-                    self.pairs[a << 32 | b] = rank
-        keys = np.array(sorted(self.pairs), dtype=np.int64)
-        self.keys, self.values = np.r_[keys, NONE], np.array([self.pairs[k] for k in keys.tolist()] + [0], dtype=np.int64)
-        self.memo: dict[str, tuple[int, ...]] = {}
+                    out[a << 32 | b] = rank
+        return out
+
+    @cached_property
+    def sorted_pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = sorted(self.pairs)
+        return np.array([*keys, NONE], dtype=np.int64), np.array([*(self.pairs[k] for k in keys), 0], dtype=np.int64)
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, NONE without one."""
         wanted = a << 32 | b
-        at = np.searchsorted(self.keys, wanted)
-        return np.where(self.keys[at] == wanted, self.values[at], NONE)
+        keys, values = self.sorted_pairs
+        at = np.searchsorted(keys, wanted)
+        return np.where(keys[at] == wanted, values[at], NONE)
 
     # -- encoding
 
@@ -180,13 +195,20 @@ class Vocabulary:
         for at in range(0, len(pieces), 256):
             part = pieces[at : at + 256]
             fresh = list(set(chain.from_iterable(part)).difference(self.memo))
-            if len(self.memo) + len(fresh) > MEMO:
-                self.memo.clear()
-                fresh = list(set(chain.from_iterable(part)))
-            self.memo.update(zip(fresh, self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in fresh])))
-            known = self.memo.__getitem__
+            found = dict(zip(fresh, self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in fresh])))
+            known = self.memo.get
             for words in part:
-                yield np.fromiter(chain.from_iterable(map(known, words)), dtype="<u4")
+                yield np.fromiter(chain.from_iterable(found[w] if (ids := known(w)) is None else ids for w in words), dtype="<u4")
+            self._keep(found)
+
+    def _keep(self, found: dict[str, tuple[int, ...]]) -> None:
+        short = {p: ids for p, ids in found.items() if len(p) <= WIDE}
+        size = sum(_ENTRY_BYTES + 4 * len(p) + 8 * len(ids) for p, ids in short.items())
+        if self.memo_bytes + size > MEMO_BYTES:
+            self.memo, self.memo_bytes = {}, 0
+        if size <= MEMO_BYTES:
+            self.memo.update(short)
+            self.memo_bytes += size
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))

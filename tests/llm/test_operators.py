@@ -135,6 +135,23 @@ def test_sharding(spark, tmp_path):
     assert store.read().count() == before
 
 
+def test_arrivals_of_one_table(spark, tmp_path):
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/s", target_bytes=20_000, tier_bytes=2_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({"_arrival": F.lit(1), "x": F.lit(None).cast("long")})
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(1).withColumns({"doc_id": F.lit(None).cast("long"), "text": F.repeat(F.lit("long "), 100_000)}))
+    last = store.append_arrivals(docs, F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(16)))
+    assert len(store.versions()) > 16 and len(last.runs) < 16 and max(r.level for r in last.runs) >= 1
+    want = sorted(map(str, docs.collect()))
+    assert sorted(map(str, store.read().collect())) == want
+    before = store.versions()[-2]  # a reader of the version before still finds its files
+    assert store.read(before).count() > 0
+    sizes = [f.bytes for r in last.runs if r.level for f in r.files]
+    assert all(r.bytes == sum(f.bytes for f in r.files) for r in last.runs) and max(sizes) < 100_000
+    empty = sharding.ShardStore(spark, f"file://{tmp_path}/e")
+    empty.append_arrivals(docs.where("false"), F.lit(0))
+    assert empty.read().columns == docs.columns and empty.read().count() == 0
+
+
 def test_empty_store(spark, tmp_path):
     store = sharding.ShardStore(spark, f"file://{tmp_path}/s")
     assert store.read(schema="doc_id long").count() == 0
