@@ -2,17 +2,19 @@
 
 Documents are cut into pieces of at most ``capacity`` tokens (the first piece
 of a document takes the remainder, the others are full). Full pieces are
-sequences of their own. The others are dealt to partitions, and each partition
-packs its pieces by best-fit decreasing. Dual feasible functions give a lower
-bound of each partition's count: a function u with sum(u(x)) <= 1 for every
-feasible bin makes ceil(sum(u)) a bound. A partition that meets its bound is
-certified and done. Partitions with a gap keep their best-filled bins and send
-the documents of the others to an exchange: these are dealt to fewer partitions
-and packed again, until all are certified, the exchange no longer shrinks the
-count, or it fits one partition of ``part_items`` pieces.
-
-A partition holds sizes and row numbers of its pieces only, at most about
-``part_items``; what the driver sees is one row of counts a partition.
+sequences of their own. The others are dealt to groups, and each group is
+packed by best-fit decreasing. Dual feasible functions give a lower bound of a
+group's count: a function u with sum(u(x)) <= 1 for every feasible bin makes
+ceil(sum(u)) a bound. A group that meets its bound is certified and done. A
+group with a gap keeps its fullest bins, as many as waste less than one bin
+together, which meets the bound of what they hold; the documents of the other
+bins go to an exchange: they are dealt to fewer groups and packed again, until
+all are certified, the exchange no longer shrinks the count, or it was one
+group. ``bins`` and ``bound`` of a piece are those of the set it was kept with.
+
+A group holds sizes and row numbers of its pieces only, about ``group_items``;
+a task takes group after group, and there are at most ``_TASKS`` tasks. What
+the driver sees is one row of counts a round.
 
 Edge cases: null text is an empty text, one piece with the end token alone;
 equal documents are packed each for itself; an empty table gives an empty one;
@@ -24,13 +26,13 @@ from __future__ import annotations
 import bisect
 import json
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,31 +41,30 @@ from ..plans.materialize import materialize
 CAPACITY = 1024
 END_ID = 2
 _PIECE = "doc_id long, piece int, start long, length long"
+_TASKS = 1 << 12
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     """The encode function of a tokenizer file.
 
-    The file's own library encodes any text. Text of Latin scripts, where the
-    classes of the split pattern are the same in every Unicode version, goes
-    through the same merges in the faster of the two installed libraries.
+    The file's own library encodes any text, special strings included. Text of
+    Latin scripts without these, where the classes of the split pattern are the
+    same in every Unicode version, goes through the same merges in the faster
+    of the two installed libraries.
     """
-    import re
-
     import tiktoken
     from public_tokenizers import PATTERN
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True  # their strings in a text are ordinary text
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     letters = {c: b for b, c in _byte_letters().items()}
     added = {t["content"] for t in spec.get("added_tokens", [])}
     ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
     fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=_dense(ranks), special_tokens={})
-    odd = re.compile("[^\t-\r\x20-~\xa1-ɏ‐-‧]").search
+    odd = re.compile("|".join(["[^\t-\r\x20-~\xa1-ɏ‐-‧]", *map(re.escape, sorted(added))])).search
     order = _ids_by_merge_rank(ranks)
 
     def encode(text: str) -> np.ndarray:
@@ -163,59 +164,77 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets
 
 
-_PACKED = f"{_PIECE}, ids_crc32 long, bin long, offset long, part int, bound long, used long, open boolean"
+_PACKED = f"{_PIECE}, ids_crc32 long, group long, bin long, offset long, bins long, bound long, open boolean"
+
 
+def certified_bins(fill: np.ndarray, capacity: int) -> np.ndarray:
+    """The fullest bins that waste less than one bin together: ceil(sum / capacity) is their number."""
+    order = np.argsort(-fill, kind="stable")
+    out = np.zeros(len(fill), bool)
+    out[order[np.cumsum(capacity - fill[order]) < capacity]] = True
+    return out
 
-def _pack_part(capacity: int, last: bool):
-    """Packs one partition; ``open`` marks the pieces that go to the exchange."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        table = pa.Table.from_batches(held).sort_by([("doc_id", "ascending"), ("piece", "ascending")])
+def _pack_groups(capacity: int):
+    """Packs group after group of rows in order; ``open`` marks the pieces that go to the exchange."""
+
+    def packed(table: pa.Table) -> pa.Table:
         sizes = table.column("length").to_numpy()
         bins, offsets = best_fit_decreasing(sizes, capacity)
         used, bound = int(bins.max()) + 1, lower_bound(sizes, capacity)
-        fill = np.bincount(bins, weights=sizes, minlength=used)
-        gap = used > bound and not last
-        # The emptiest bins hold the gap; each round re-packs those that are not full enough to be worth keeping.
-        loose = (fill < capacity - capacity // 64)[bins] if gap else np.zeros(len(sizes), bool)
-        n = len(sizes)
-        extra = {
-            "bin": pa.array(bins),
-            "offset": pa.array(offsets),
-            "part": pa.array(np.full(n, TaskContext.get().partitionId(), np.int32)),
-            "bound": pa.array(np.full(n, bound)),
-            "used": pa.array(np.full(n, used)),
-            "open": pa.array(loose),
-        }
-        names = [f.strip().split()[0] for f in _PACKED.split(",")]
-        yield from pa.table([extra[c] if c in extra else table.column(c) for c in names], names=names).to_batches()
+        loose = np.zeros(len(sizes), bool)
+        count, least = np.full(len(sizes), used), np.full(len(sizes), bound)
+        if used > bound:
+            keep = certified_bins(np.bincount(bins, weights=sizes, minlength=used).astype(np.int64), capacity)
+            loose = ~keep[bins]
+            for part, size in ((~loose, int(keep.sum())), (loose, used - int(keep.sum()))):
+                count[part], least[part] = size, lower_bound(sizes[part], capacity)
+        for name, values in (("bin", bins), ("offset", offsets), ("bins", count), ("bound", least), ("open", loose)):
+            table = table.append_column(name, pa.array(values))
+        return table
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            while b.num_rows:
+                group = b.column("group")
+                if held and held[0].column("group")[0] != group[0]:
+                    yield from packed(pa.Table.from_batches(held)).to_batches()
+                    held = []
+                same = int(np.searchsorted(group.to_numpy(), group[0].as_py(), side="right"))
+                held.append(b.slice(0, same))
+                b = b.slice(same)
+        if held:
+            yield from packed(pa.Table.from_batches(held)).to_batches()
 
     return run
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, part_items: int = 8192, rounds: int = 4) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)`` of pieces as :func:`pieces` cuts them."""
-    cut = cut.select("doc_id", "piece", "start", "length", "ids_crc32")
+def pack(cut: DataFrame, capacity: int = CAPACITY, group_items: int = 8192) -> DataFrame:
+    """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset, bins, bound)`` of pieces as :func:`pieces` cuts them."""
+    own = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    cut = cut.select(*own)
     whole = cut.where(F.col("length") == capacity)
     loose = cut.where(F.col("length") < capacity)
-    settled, stage = [], 0
-    n = loose.count()
+    settled, stage, before, n = [], 0, None, loose.count()
     while n:
-        parts = max(1, math.ceil(n / part_items))
-        last = parts == 1 or stage == rounds
-        dealt = loose.repartition(parts, F.xxhash64("doc_id", "piece", F.lit(stage))) if parts > 1 else loose.repartition(1)
-        packed = materialize(dealt.mapInArrow(_pack_part(capacity, last), _PACKED), "packed")
-        settled.append(packed.where("not open").select("*", F.lit(stage).alias("stage")))
-        loose = packed.where("open").select("doc_id", "piece", "start", "length", "ids_crc32")
-        n, stage = loose.count(), stage + 1
-    # Numbers: partition and bin of a round give a sequence; full pieces come after, one each.
-    out = whole.select("*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+        groups = max(1, math.ceil(n / group_items))
+        dealt = loose.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(stage)), F.lit(groups)))
+        dealt = dealt.repartition(min(groups, _TASKS), "group").sortWithinPartitions("group", *own)
+        packed = materialize(dealt.mapInArrow(_pack_groups(capacity), _PACKED), "packed")
+        sets = packed.groupBy("group", "open").agg(F.first("bins").alias("bins"), F.count("*").alias("n"))
+        used, left, n = sets.agg(F.sum("bins"), F.sum(F.when(F.col("open"), F.col("bins"))), F.sum(F.when(F.col("open"), F.col("n")))).first()
+        # An exchange that packed the same documents into no fewer bins is the last.
+        last = groups == 1 or (before is not None and used >= before)
+        settled.append(packed.where(F.lit(True) if last else ~F.col("open")).withColumn("stage", F.lit(stage)))
+        loose, before, stage = packed.where("open").select(*own), left, stage + 1
+        if last:
+            break
+    # Numbers: group, round and bin give a sequence; full pieces come after, one each.
+    out = whole.select("*", F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(1).cast("long").alias("bins"), F.lit(1).cast("long").alias("bound"))
     for packed in settled:
-        number = F.lit(-1).cast("long") - ((F.col("stage") * F.lit(1 << 20) + F.col("part")).cast("long") * F.lit(1 << 34) + F.col("bin"))
-        out = out.unionByName(packed.select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), "offset"))
+        number = F.lit(-1).cast("long") - ((F.col("group") * F.lit(1 << 6) + F.col("stage")) * F.lit(1 << 24) + F.col("bin"))
+        out = out.unionByName(packed.select(*own, number.alias("sequence_id"), "offset", "bins", "bound"))
     return out
 
 

@@ -13,6 +13,7 @@ import pytest
 import regex
 import tiktoken
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from reuselens.llm import bpe, compact_windows, licenses, packing, pii, quality, queries, sharding, simhash, suffix_dedup, webp
 from reuselens.llm.induced_sort import Shard
@@ -260,21 +261,26 @@ def test_similar_documents_against_all_pairs(spark):
 # 5
 
 
-def test_packing(edge):
-    encoding = _encoding()
-    rows = OPERATORS["packing"](edge).collect()
+def test_packing(spark):
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    odd = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext| >é", "日本 <|endoftext|>x", "tie " * 700, "tie " * 700, "q" * 5000]
+    texts = dict(EDGE) | {900 + k: t for k, t in enumerate(odd)}
+    repeated = [(904, texts[904]), (4, texts[4])]
+    docs = spark.createDataFrame([*texts.items(), *repeated], "doc_id long, text string").withColumns({c: F.lit("x") for c in ("bin", "group", "length", "open")})
+    rows = packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
         by_sequence[r.sequence_id].append(r)
-    assert set(by_doc) == {i for i, _ in EDGE}
-    for i, text in EDGE:
-        ids = np.array([*encoding.encode_ordinary(text or ""), 2], dtype="<u4")
+    assert set(by_doc) == set(texts)
+    for i, text in texts.items():
+        copies = 1 + sum(k == i for k, _ in repeated)
+        ids = np.array([*own.encode(text or "", add_special_tokens=False).ids, 2], dtype="<u4")
         at = 0
         for k, r in enumerate(sorted(by_doc[i], key=lambda r: r.piece)):
-            assert (r.piece, r.start, r.ids_crc32) == (k, at, zlib.crc32(ids[at : at + r.length].tobytes()))
-            assert k == 0 or r.length == 1024
-            at += r.length
+            assert (r.piece, r.start, r.ids_crc32) == (k // copies, at, zlib.crc32(ids[at : at + r.length].tobytes()))
+            assert r.piece == 0 or r.length == 1024
+            at += r.length if k % copies == copies - 1 else 0
         assert at == len(ids)
     for parts in by_sequence.values():
         at = 0
@@ -286,17 +292,29 @@ def test_packing(edge):
     assert total <= len(by_sequence) <= total + 1
 
 
+def test_certified_bins():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        sizes = rng.integers(1, rng.integers(2, 1025), 400)
+        bins, _ = packing.best_fit_decreasing(sizes, 1024)
+        keep = packing.certified_bins(np.bincount(bins, weights=sizes).astype(np.int64), 1024)
+        assert packing.lower_bound(sizes[keep[bins]], 1024) == keep.sum()
+
+
 def test_lower_bounds_hold_and_exchange(spark):
     assert packing.lower_bound(np.array([600] * 10), 1024) == 10
     rng = np.random.default_rng(1)
-    sizes = rng.integers(1, 1024, 6000)
-    bins, _ = packing.best_fit_decreasing(sizes, 1024)
-    assert packing.lower_bound(sizes, 1024) <= bins.max() + 1
-    assert np.bincount(bins, weights=sizes).max() <= 1024
-    cut = spark.createDataFrame([(k, 0, 0, int(n), 0) for k, n in enumerate(sizes)], "doc_id long, piece int, start long, length long, ids_crc32 long")
-    packed = packing.pack(cut, part_items=500).toPandas()
-    assert len(packed) == 6000 and packed.groupby("sequence_id").length.sum().max() <= 1024
-    assert packed.sequence_id.nunique() <= 1.02 * packing.lower_bound(sizes, 1024)
+    for sizes in (rng.integers(1, 1024, 6000), rng.integers(300, 700, 3000), np.full(2000, 341), np.full(1500, 400)):
+        bins, _ = packing.best_fit_decreasing(sizes, 1024)
+        assert packing.lower_bound(sizes, 1024) <= bins.max() + 1
+        assert np.bincount(bins, weights=sizes).max() <= 1024
+        cut = spark.createDataFrame([(k, 0, 0, int(n), 0) for k, n in enumerate(sizes)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+        packed = packing.pack(cut, group_items=500).toPandas()
+        assert len(packed) == len(sizes) and packed.groupby("sequence_id").length.sum().max() <= 1024
+        assert packed.groupby("sequence_id")[["bins", "bound"]].nunique().max().max() == 1
+        one = packed.groupby("sequence_id").agg(bins=("bins", "first"), bound=("bound", "first"))
+        assert (one.bins >= one.bound).all()
+        assert packed.sequence_id.nunique() <= 1.02 * packing.lower_bound(sizes, 1024) + 4
 
 
 def test_assembled_sequences(spark):
