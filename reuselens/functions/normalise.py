@@ -24,6 +24,11 @@ def uid(c: Column) -> Column:
     return trimmed(c)
 
 
+def number(c: Column) -> Column:
+    """A number; what is not one (NaN) is null."""
+    return F.when(~F.isnan(c), c)
+
+
 def flag_words(c: Column) -> Column:
     """True for any of the accepted words, in any case; false for all else, nulls included."""
     return F.coalesce(F.lower(trimmed(c)).isin(*TRUE_WORDS), F.lit(False))

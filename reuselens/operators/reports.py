@@ -123,6 +123,50 @@ def industry_baseline(registered: DataFrame, rows: DataFrame, annotated: DataFra
     return out.withColumn("accuracy", N.share(F.col("confirmed"), F.col("annotated")))
 
 
+def pool_baseline(full: DataFrame, rows: DataFrame, suspects: DataFrame, pool: DataFrame, annotated: DataFrame, level: int = 1) -> DataFrame:
+    """Distinct accounts by industry, of one or both levels: registered,
+    clustered, in suspect clusters, in the pool and confirmed.
+
+    Industries are those of an account's first row in ``full``; ``rows`` fills
+    in accounts that it lacks. ``suspects`` holds the suspect ``cluster_id``s.
+    """
+    first = lambda df, p: df.groupBy("user_id").agg(F.min_by(F.struct(F.trim(F.coalesce("trade_first_name", F.lit(""))).alias("a"), F.trim(F.coalesce("trade_second_name", F.lit(""))).alias("b")), "row_idx").alias(p))
+    inside = rows.where("cluster_id >= 0")
+    marked = inside.join(suspects.select("cluster_id").distinct().withColumn("_s", F.lit(True)), "cluster_id", "left").groupBy("user_id").agg(F.lit(True).alias("c"), F.bool_or(F.coalesce("_s", F.lit(False))).alias("s"))
+    flags = first(full, "f").join(first(inside, "t"), "user_id", "full_outer").join(marked, "user_id", "left")
+    for df, name in ((pool.select("user_id"), "p"), (annotated.where(_violates("confirmed")).select("user_id"), "v")):
+        flags = flags.join(df.distinct().withColumn(name, F.lit(True)), "user_id", "left")
+    own = F.coalesce("f", "t")
+    names = [F.coalesce(F.nullif(own[k], F.lit("")), F.lit(N.UNKNOWN_INDUSTRY)).alias(n) for k, n in (("a", "industry"), ("b", "industry2"))][:level]
+    return flags.groupBy(*names).agg(F.count("*").alias("registered"), *[F.count_if(c).alias(n) for c, n in (("c", "clustered"), ("s", "suspected"), ("p", "annotated"), ("v", "confirmed"))])
+
+
+def extract_window(settlement: DataFrame, governance: DataFrame, images: DataFrame, day: Column, days: int = 7) -> DataFrame:
+    """Registrations of ``day`` and the days before it with all their trades and images.
+
+    An account comes once for each of its days, trades and images: trades are
+    not folded to one. ``is_target_user`` marks the day itself.
+    """
+    scope = settlement.where("user_apply_type = 'initAudit' and certificate_type in (2, 4)").where(F.col("pro_settle_date").between(F.date_sub(day, days - 1), day))
+    target = F.col("pro_settle_date") == day
+    base = scope.select("user_id", "pro_settle_date", target.alias("is_target_user"), F.when(target, "target_day").otherwise("history_7d").alias("source_window")).distinct()
+    trade = governance.select("user_id", F.col("first_trade_name").alias("trade_first_name"), F.col("second_trade_name").alias("trade_second_name")).distinct()
+    one = images.where("qualification_url is not null and qualification_url <> ''").groupBy("user_id", "qualification_url").agg(F.max("embeds").alias("embeds")).where("embeds <> ''")
+    return base.join(trade, "user_id", "left").join(one, "user_id")
+
+
+def daily_windows(settlement: DataFrame, days: int = 7) -> DataFrame:
+    """One window a day: ``(day, registrations, accounts, target_accounts)`` of the day and the days before it.
+
+    Each registration is counted once for each window that it lies in.
+    """
+    own = settlement.select("user_id", "pro_settle_date").where("pro_settle_date is not null")
+    days_held = own.select(F.col("pro_settle_date").alias("day")).distinct()
+    spread = own.select("user_id", "pro_settle_date", F.explode(F.sequence(F.col("pro_settle_date"), F.date_add("pro_settle_date", days - 1))).alias("day")).join(days_held, "day", "left_semi")
+    target = F.when(F.col("pro_settle_date") == F.col("day"), F.col("user_id"))
+    return spread.groupBy("day").agg(F.count("*").alias("registrations"), F.count_distinct("user_id").alias("accounts"), F.count_distinct(target).alias("target_accounts"))
+
+
 def auth_methods(registered: DataFrame, organisation: DataFrame, annotated: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
     """Registered and confirmed accounts by industry and authentication method; those without a method fall out."""
     method = organisation.groupBy("user_id").agg(F.max("authentication_type").alias("t"))
@@ -211,24 +255,6 @@ def attribute_misses(confirmed: DataFrame, audited: DataFrame) -> DataFrame:
     return both.withColumn("match", F.when(F.col("n_audited") == 0, "nofactor").when(F.col("n_same") > 0, "same").otherwise("diff"))
 
 
-def weekly_checks(samples: DataFrame, rows: DataFrame, annotated: DataFrame, reported: DataFrame, drift: float = 0.10, previous: DataFrame | None = None) -> DataFrame:
-    """``(code, level, ok, detail)``: a week's totals recomputed and held against ``reported (sample_group, denominator, numerator, concentration)``."""
-    again = concentration_checked(samples, rows, annotated)
-    held = reported.alias("r").join(again.alias("a"), "sample_group", "full_outer")
-    bad = ~(F.col("r.denominator").eqNullSafe(F.col("a.denominator")) & F.col("r.numerator").eqNullSafe(F.col("a.numerator")))
-    parts = [
-        ("C1_unlabelled_not_counted", "error", annotated.where("remark_first is null").where(_violates("all"))),
-        ("C3_recomputed", "error", held.where(bad)),
-        ("C5_numerator_within", "error", reported.where("numerator > denominator")),
-        ("C8_no_ghost_rows", "error", annotated.select("user_id", "qualification_url").join(rows, ["user_id", "qualification_url"], "left_anti")),
-    ]
-    if previous is not None:
-        moved = reported.join(previous.select("sample_group", F.col("concentration").alias("_p")), "sample_group").where(F.abs(F.col("concentration") - F.col("_p")) > drift)
-        parts.append(("C7_drift", "warn", moved))
-    found = [df.agg(F.count("*").alias("detail")).select(F.lit(c).alias("code"), F.lit(level).alias("level"), (F.col("detail") == 0).alias("ok"), "detail") for c, level, df in parts]
-    return reduce(DataFrame.unionByName, found)
-
-
 def prev_value(metrics: DataFrame, partition: str, order: str, value: str) -> DataFrame:
     """Each week's value with the one before it, the change, and whether it is flat (under 0.005)."""
     w = Window.partitionBy(partition).orderBy(order)

@@ -30,10 +30,10 @@ def cluster_list(items: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def search_user(items: DataFrame, part: str, limit: int = 500) -> DataFrame:
-    """Distinct clusters of accounts that contain ``part`` in any case (two characters at least), with the count of matching rows."""
-    if len(part.strip()) < 2:
-        raise ValueError("two characters at least")
-    hits = items.where(F.contains(F.lower("user_id"), F.lit(part.strip().lower())))
+    """Distinct clusters of accounts that contain ``part`` in any case, with the
+    count of matching rows in clusters; nothing for fewer than two characters."""
+    wanted = part.strip().lower()
+    hits = items.where("cluster_id <> -1").where(F.contains(F.lower("user_id"), F.lit(wanted)) if len(wanted) >= 2 else F.lit(False))
     total = hits.agg(F.count("*").alias("total"))
     return hits.select("cluster_id").distinct().orderBy("cluster_id").limit(limit).crossJoin(F.broadcast(total))  # one row
 
@@ -122,13 +122,31 @@ def decisions(candidates: DataFrame, verdicts: DataFrame, reviews: DataFrame, st
     return out.withColumn("shown", F.coalesce(human, word(electronic))).withColumn("submitted", F.coalesce(human, word(drop)))
 
 
+# Words in a header that hint at the kind of its ids.
+ID_HINTS = {
+    "uid": ("user_id", "userid", "uid", "账户id", "账号id", "用户id"),
+    "audit_order": ("history_id", "task_id", "版本id", "任务id", "订单号", "物料id"),
+}
+
+
 def detect_id_columns(df: DataFrame, least: float = 0.9) -> DataFrame:
-    """``(column, kind, ratio)``: columns of 24-digit hexadecimal ids (``uid``) or of six digits and more (``audit_order``)."""
-    cells = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.trim(F.col(f"`{c}`").cast("string")).alias("x")) for c in df.columns])).alias("_c")).select("_c.*").where("x <> ''")
-    kind = F.when(F.col("x").rlike("^[0-9a-fA-F]{24}$"), "uid").when(F.col("x").rlike("^[0-9]{6,}$"), "audit_order")
-    votes = cells.groupBy("column").agg(F.count("*").alias("n"), F.count_if(kind == "uid").alias("u"), F.count_if(kind == "audit_order").alias("a"))
-    best = votes.select("column", F.when(F.col("u") >= F.col("a"), "uid").otherwise("audit_order").alias("kind"), (F.greatest("u", "a") / F.col("n")).alias("ratio"))
-    return best.where(F.col("ratio") >= least)
+    """``(column, kind, ratio, chosen)``: columns whose header hints at the kind
+    of ids that most of their cells are, with a share of ``least`` or more.
+
+    Cells of 24 hexadecimal digits are ``uid``, of six digits and more
+    ``audit_order``. The last ``uid`` column is ``chosen``, unless an
+    ``audit_order`` column comes after it; of those the first counts.
+    """
+    named = [(i, c, next((k for k, words in ID_HINTS.items() if any(w in c.lower() for w in words)), None)) for i, c in enumerate(df.columns)]
+    listed = [F.struct(F.lit(i).alias("at"), F.lit(c).alias("column"), F.lit(k).alias("hint"), F.trim(F.col(f"`{c}`").cast("string")).alias("x")) for i, c, k in named]
+    cells = df.select(F.explode(F.array(*listed)).alias("_c")).select("_c.*").where("x <> '' and hint is not null")
+    kind = F.when(F.lower("x").rlike("^[0-9a-f]{24}$"), "uid").when(F.col("x").rlike("^[0-9]{6,}$"), "audit_order").otherwise("unknown")
+    votes = cells.groupBy("at", "column", "hint").agg(F.count("*").alias("n"), F.count_if(kind == F.col("hint")).alias("own"))
+    held = votes.select("at", "column", F.col("hint").alias("kind"), (F.col("own") / F.col("n")).alias("ratio")).where(F.col("ratio") >= least)
+    last_uid = F.max(F.when(F.col("kind") == "uid", F.col("at")))
+    ends = held.agg(last_uid.alias("u"), F.sort_array(F.collect_list(F.when(F.col("kind") == "audit_order", F.col("at")))).alias("o"))  # one element a column
+    after = F.filter("o", lambda x: F.coalesce(x > F.col("u"), F.lit(True)))
+    return held.crossJoin(F.broadcast(ends)).select("column", "kind", "ratio", (F.col("at") == F.coalesce(F.try_element_at(after, F.lit(1)), F.col("u"))).alias("chosen"))
 
 
 def batches(rows: DataFrame, size: int = 10) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.materialize import materialize
 from ..plans.ordering import global_index
 
 SALT = "_seed42"
@@ -79,7 +80,8 @@ def expand_clusters(rows: DataFrame, samples: DataFrame, keep_solo: bool = False
     that would vanish by that come back with all their rows and -1.
     """
     sampled = samples.select(F.trim("user_id").alias("user_id")).where("user_id <> ''").distinct().withColumn("is_sample_user", F.lit(True))
-    flagged = rows.join(sampled, "user_id", "left").withColumn("is_sample_user", F.coalesce("is_sample_user", F.lit(False)))
+    # read by four branches below: computed once
+    flagged = materialize(rows.join(sampled, "user_id", "left").withColumn("is_sample_user", F.coalesce("is_sample_user", F.lit(False))), "flagged")
     hit = flagged.where("is_sample_user and cluster_id >= 0").select("cluster_id").distinct()
     outside = flagged.where("is_sample_user").groupBy("user_id").agg(F.max("cluster_id").alias("_c")).where("_c < 0").select("user_id")
     taken = flagged.join(hit, "cluster_id", "left_semi").unionByName(flagged.where("is_sample_user").join(outside, "user_id", "left_semi"))
@@ -98,26 +100,3 @@ def expand_clusters(rows: DataFrame, samples: DataFrame, keep_solo: bool = False
 def canonical_order(rows: DataFrame) -> DataFrame:
     """Clustered rows first, by cluster, account and url."""
     return rows.orderBy(F.col("cluster_id") < 0, "cluster_id", "user_id", "qualification_url")
-
-
-def expansion_checks(rows: DataFrame, samples: DataFrame, expanded: DataFrame) -> DataFrame:
-    """``(code, ok, detail)``: what must hold for an expansion."""
-    sampled = samples.select(F.trim("user_id").alias("user_id")).distinct()
-    present = sampled.join(rows.select("user_id"), "user_id", "left_semi")
-    out_sample = expanded.where("is_sample_user").select("user_id").distinct()
-    clusters = expanded.where("cluster_id >= 0")
-    per_cluster = clusters.groupBy("cluster_id").agg(F.count_distinct("user_id").alias("users"), F.count_if("is_sample_user").alias("sampled"))
-    parts = [
-        ("A1_no_sample_lost", present.join(out_sample, "user_id", "left_anti")),
-        ("A2_no_sample_invented", out_sample.join(present, "user_id", "left_anti")),
-        ("A3_rows_once", expanded.groupBy("user_id", "qualification_url").count().where("count > 1")),
-        ("A4_no_single_account", per_cluster.where("users < 2")),
-        ("A5_every_cluster_known", clusters.select("cluster_id").distinct().join(rows.select("cluster_id"), "cluster_id", "left_anti")),
-        ("A6_outside_only_samples", expanded.where("cluster_id < 0 and not is_sample_user")),
-        ("A7_keys_known", expanded.select("user_id", "qualification_url").join(rows, ["user_id", "qualification_url"], "left_anti")),
-    ]
-    found = [df.agg(F.count("*").alias("detail")).select(F.lit(code).alias("code"), (F.col("detail") == 0).alias("ok"), "detail") for code, df in parts]
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out

@@ -23,39 +23,45 @@ def knn_exact(df: DataFrame, k: int = 10, id_col: str = "row_idx", vector: str =
 
     Rows are dealt into blocks of about ``block`` rows by a hash of their id,
     and each pair of blocks is one group: a matrix product of bounded size that
-    keeps ``k`` candidates a row. A last ranking keeps ``k`` of those. Vectors
-    are taken as they are; those that are null, empty or of another dimension
-    than the first row of their group fall out. Ties go to the smaller id.
+    keeps ``k`` candidates a row for both of its sides. A last ranking keeps
+    ``k`` of those. Vectors are taken as they are; those that are null, empty or
+    of another dimension than that of the smallest id fall out. Ties go to the
+    smaller id.
     """
     own = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v")).where(F.size("v") > 0)
     own = materialize(own, "knn-rows")
-    n = max(1, math.ceil(own.count() / block))
+    total, size = own.agg(F.count("*"), F.min_by(F.size("v"), "id")).first()
+    own = own.where(F.size("v") == F.lit(size))
+    n = max(1, math.ceil(total / block))
     placed = own.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
     others = F.sequence(F.lit(0), F.lit(n - 1))
     dealt = placed.select("id", "v", "b", F.explode(others).alias("o")).select("id", "v", "b", F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"))
 
+    floor = -np.inf if least is None else least
+
+    def best(scores: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> pd.DataFrame:
+        """The k largest of each row; columns are in order of id."""
+        top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        got = np.take_along_axis(scores, top, axis=1)
+        i, j = np.nonzero((got >= floor) & np.isfinite(got))
+        return pd.DataFrame({"src": mine[i], "dst": theirs[top[i, j]], "score": got[i, j]})
+
     def product(pdf: pd.DataFrame) -> pd.DataFrame:
-        size = len(pdf["v"].iloc[0])
-        pdf = pdf[pdf["v"].map(len) == size].sort_values("id")
+        pdf = pdf.sort_values("id")
         p, q = int(pdf["p"].iloc[0]), int(pdf["q"].iloc[0])
-        sides = [pdf[pdf["b"] == x] for x in (p, q)]
-        out = []
-        for a, b in [(sides[0], sides[1]), (sides[1], sides[0])][: 1 if p == q else 2]:
-            if not len(a) or not len(b):
-                continue
-            left, right = (np.stack(x["v"].to_numpy()).astype(np.float64) for x in (a, b))
-            mine, theirs = a["id"].to_numpy(), b["id"].to_numpy()
-            for s in range(0, len(mine), 512):
-                scores = left[s : s + 512] @ right.T
-                if p == q:
-                    scores[mine[s : s + 512, None] == theirs[None, :]] = -np.inf
-                top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-                got = np.take_along_axis(scores, top, axis=1)
-                i, j = np.nonzero(got >= (-np.inf if least is None else least))
-                keep = np.isfinite(got[i, j])
-                i, j = i[keep], j[keep]
-                out.append(pd.DataFrame({"src": mine[s + i], "dst": theirs[top[i, j]], "score": got[i, j]}))
-        return pd.concat(out) if out else pd.DataFrame({"src": [], "dst": [], "score": []}).astype({"src": "int64", "dst": "int64"})
+        a, b = (pdf[pdf["b"] == x] for x in (p, q))
+        if not len(a) or not len(b):
+            return pd.DataFrame({"src": [], "dst": [], "score": []}).astype({"src": "int64", "dst": "int64"})
+        left, right = (np.stack(x["v"].to_numpy()).astype(np.float64) for x in (a, b))
+        mine, theirs, out = a["id"].to_numpy(), b["id"].to_numpy(), []
+        for s in range(0, len(mine), 512):
+            scores = left[s : s + 512] @ right.T
+            if p == q:
+                scores[mine[s : s + 512, None] == theirs[None, :]] = -np.inf
+            else:  # the same product serves the other block's rows
+                out.append(best(scores.T, theirs, mine[s : s + 512]))
+            out.append(best(scores, mine[s : s + 512], theirs))
+        return pd.concat(out)
 
     found = dealt.groupBy("p", "q").applyInPandas(product, "src long, dst long, score double")
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("score"), "dst"))
@@ -93,31 +99,38 @@ def cluster_kmeans(df: DataFrame, k: int = 500, iterations: int = 30, seeds: tup
     return min(fits, key=lambda m: m.summary.trainingCost).transform(rows).drop("_features")
 
 
+def aligned_pair(a: dict | None, b: dict | None, align: Callable[[np.ndarray, np.ndarray], np.ndarray | None] | None) -> tuple[np.ndarray, np.ndarray | None] | None:
+    """Two images ``(h, w, data)`` of one size, the second warped onto the first (None where that fails); None where one is absent."""
+    if a is None or b is None or a["data"] is None or b["data"] is None:
+        return None
+    x, y = (np.frombuffer(s["data"], np.uint8).reshape(int(s["h"]), int(s["w"]), 3) for s in (a, b))
+    if x.shape != y.shape:
+        y = y[np.arange(x.shape[0]) * y.shape[0] // x.shape[0]][:, np.arange(x.shape[1]) * y.shape[1] // x.shape[1]]
+    return x, (y if align is None else align(x, y))
+
+
 def verify_edges(edges: DataFrame, images: DataFrame, rate: float = 0.85, tolerance: int = 10, sure: float = 0.99, align: Callable[[np.ndarray, np.ndarray], np.ndarray | None] | None = None) -> DataFrame:
     """Edges with ``pixel_rate``, ``status`` and ``kept``, from ``images (row_idx, h, w, data)`` of RGB bytes.
 
     The rate is the share of pixels whose three channels all differ by
-    ``tolerance`` or less. Edges of a cosine below ``sure`` go through
-    ``align`` first, which warps the second image onto the first or gives None
-    (``align_failed``). Images of another size are resized by nearest pixels.
+    ``tolerance`` or less. An image of another size is first resized by nearest
+    pixels. Edges of a cosine below ``sure`` go through ``align``, which warps
+    the second image onto the first or gives None (``align_failed``).
     An absent image is ``no_image`` and is not kept.
     """
     sides = [images.select(F.col("row_idx").alias(end), F.struct("h", "w", "data").alias(name)) for end, name in (("src", "a"), ("dst", "b"))]
     joined = edges.join(sides[0], "src", "left").join(sides[1], "dst", "left")
 
     def one(score: float, a: dict | None, b: dict | None) -> tuple[float, str]:
-        if a is None or b is None or a["data"] is None or b["data"] is None:
+        warp = align if score < sure else None
+        pair = aligned_pair(a, b, warp)
+        if pair is None:
             return 0.0, "no_image"
-        x, y = (np.frombuffer(s["data"], np.uint8).reshape(int(s["h"]), int(s["w"]), 3) for s in (a, b))
-        status = "skipped"
-        if score < sure:
-            y, status = (y if align is None else align(x, y)), "aligned" if align else "skipped"
-            if y is None:
-                return 0.0, "align_failed"
-        if x.shape != y.shape:
-            y = y[np.arange(x.shape[0]) * y.shape[0] // x.shape[0]][:, np.arange(x.shape[1]) * y.shape[1] // x.shape[1]]
+        x, y = pair
+        if y is None:
+            return 0.0, "align_failed"
         close = (np.abs(x.astype(np.int16) - y.astype(np.int16)) <= tolerance).all(axis=2)
-        return float(close.mean()) if close.size else 0.0, status
+        return float(close.mean()) if close.size else 0.0, "aligned" if warp else "skipped"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

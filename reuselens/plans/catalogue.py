@@ -228,12 +228,6 @@ def expand_b(spark, sf_dir):
     return P.canonical_order(P.expand_clusters(rows, samples).select(*[c for c in rows.columns if c != "cluster_id"], "cluster_id", "is_sample_user"))
 
 
-@query("SELECT code, true AS ok, CAST(0 AS BIGINT) AS detail FROM (VALUES ('A1_no_sample_lost'), ('A2_no_sample_invented'), ('A3_rows_once'), ('A4_no_single_account'), ('A5_every_cluster_known'), ('A6_outside_only_samples'), ('A7_keys_known')) t(code)")
-def expansion_checks(spark, sf_dir):
-    rows, _, samples = _inputs(spark, sf_dir)
-    return P.expansion_checks(rows, samples, materialize(P.expand_clusters(rows, samples), "expanded"))
-
-
 # -- concentrations and distributions
 
 
@@ -266,12 +260,6 @@ def concentration_check(spark, sf_dir):
     return R.concentration_checked(samples, rows, annotated)
 
 
-@query("SELECT code, 'error' AS level, true AS ok, CAST(0 AS BIGINT) AS detail FROM (VALUES ('C1_unlabelled_not_counted'), ('C3_recomputed'), ('C5_numerator_within'), ('C8_no_ghost_rows')) t(code)")
-def weekly_checks(spark, sf_dir):
-    rows, annotated, samples = _inputs(spark, sf_dir)
-    return R.weekly_checks(samples, rows, annotated, materialize(R.concentration_checked(samples, rows, annotated), "reported"))
-
-
 @query(f"""WITH {X.ANNOTATED_SQL}, {X.SAMPLE_SQL}, {PER_USER}, ind AS (SELECT user_id, min_by(trade_first_name, row_idx) AS i1, min_by(trade_second_name, row_idx) AS i2 FROM fx_cluster GROUP BY user_id),
 j AS (SELECT i1, i2, r, s FROM fx_sample JOIN ind USING (user_id) LEFT JOIN lab USING (user_id))
 SELECT CAST(2 - grouping(i1) - grouping(i2) AS INTEGER) AS level, i1 AS industry1, i2 AS industry2, count(*) AS sampled, count(*) FILTER (r) AS confirmed, count(*) FILTER (s AND NOT r) AS suspected FROM j GROUP BY ROLLUP (i1, i2)""")
@@ -280,11 +268,11 @@ def violation_dist(spark, sf_dir):
     return R.violation_distribution(samples, rows, annotated)
 
 
-REG = f"{X.SETTLEMENT_SQL}, reg AS (SELECT concat('u', CAST(CAST(user_id AS INTEGER) % 70 AS VARCHAR)) AS user_id, max(first_trade_name) AS first_trade_name FROM fx_settlement WHERE {SCOPE} AND CAST(user_id AS INTEGER) % 3 = 0 GROUP BY 1)"
+REG = f"{X.SETTLEMENT_SQL}, reg AS (SELECT concat('u', CAST(CAST(user_id AS INTEGER) % 70 AS VARCHAR)) AS user_id, max(first_trade_name) AS first_trade_name FROM fx_settlement WHERE {SCOPE} GROUP BY 1)"
 
 
 def _registered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = X.settlement(spark, sf_dir).where("user_apply_type = 'initAudit' and certificate_type in (2, 4)").where(F.col("user_id").cast("int") % 3 == 0)
+    s = X.settlement(spark, sf_dir).where("user_apply_type = 'initAudit' and certificate_type in (2, 4)")
     return s.groupBy(F.concat(F.lit("u"), F.col("user_id").cast("int") % 70).alias("user_id")).agg(F.max("first_trade_name").alias("first_trade_name"))
 
 
@@ -409,7 +397,7 @@ def join_export_v2(spark, sf_dir):
     return _export(spark, sf_dir, False).select("row_idx", "cluster_id", "remark_first", "image_label")
 
 
-@query(f"WITH {X.CLUSTER_SQL}, h AS (SELECT cluster_id FROM fx_cluster WHERE user_id ILIKE '%u1%') SELECT DISTINCT cluster_id, (SELECT count(*) FROM h) AS total FROM h ORDER BY cluster_id LIMIT 500")
+@query(f"WITH {X.CLUSTER_SQL}, h AS (SELECT cluster_id FROM fx_cluster WHERE cluster_id <> -1 AND user_id ILIKE '%u1%') SELECT DISTINCT cluster_id, (SELECT count(*) FROM h) AS total FROM h ORDER BY cluster_id LIMIT 500")
 def search_uid(spark, sf_dir):
     return W.search_user(X.clusters(spark, sf_dir), "U1")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from reuselens.functions import normalise as N
 from reuselens.functions import statistics as S
 from reuselens.functions import vectors as V
-from reuselens.operators import reports, review, sampling, similarity
+from reuselens.operators import checks, reports, review, sampling, similarity
 from reuselens.operators.graph import connected_components
 from reuselens.plans.ordering import global_index
 from reuselens.schemas import require_columns, resolve_column
@@ -66,7 +66,7 @@ def test_expansion(spark):
     samples = spark.createDataFrame([(" s1",), ("s2",), ("s3",), ("s9",), ("",)], "user_id string")
     got = {(r.user_id, r.qualification_url, r.cluster_id, r.is_sample_user) for r in sampling.expand_clusters(rows, samples).collect()}
     assert got == {("s1", "x", 1, True), ("o1", "y", 1, False), ("s2", "z", -1, True), ("s2", "w", -1, True), ("s3", "v", -1, True)}
-    assert all(r.ok for r in sampling.expansion_checks(rows, samples, sampling.expand_clusters(rows, samples)).collect())
+    assert all(r.ok for r in checks.expansion_checks(rows, samples, sampling.expand_clusters(rows, samples)).collect())
     assert sampling.expand_clusters(rows, samples, keep_solo=True).where("cluster_id = 2").count() == 2
     assert sampling.expand_clusters(rows.limit(0), samples).count() == 0
 
