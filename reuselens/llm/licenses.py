@@ -32,8 +32,18 @@ EQUIVALENT = (
     ("non commercial", "noncommercial"),
     ("favour", "favor"),
     ("acknowledgement", "acknowledgment"),
-    ("organisation", "organization"),
-    ("authorisation", "authorization"),
+    ("isation", "ization"),
+    ("analogue", "analog"),
+    ("artefact", "artifact"),
+    ("catalogue", "catalog"),
+    ("centre", "center"),
+    ("judgement", "judgment"),
+    ("labour", "labor"),
+    ("offence", "offense"),
+    ("practise", "practice"),
+    ("programme", "program"),
+    ("whilst", "while"),
+    ("wilful", "willful"),
     ("per cent", "percent"),
     ("https", "http"),
 )
@@ -98,6 +108,24 @@ KNOWN = (
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
 )
 
+# Digests of the canonical form of whole public licence texts, as Debian distributes them.
+KNOWN_DIGESTS = (
+    ("Apache-2.0", "ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100"),
+    ("Artistic-1.0", "ddb49d591ecc4f65a223b9f53f330918100c323532a653c090d21b38e35a3a42"),
+    ("BSD-3-Clause", "3d151449461c0c776e892a4dc41cac0d251eb00c9fc49d2d48802d9bed818fe9"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "19d29a7c800a0d85704b63b4c09d5cd01dd9a287c61e238f4717d8a9e75d214f"),
+    ("GFDL-1.3", "e70f40f3a50995855f972521fe4eaa4af360a4597e5914977b6093cce5243480"),
+    ("GPL-1.0", "ecffd792bbe30a8f068c26179a7995c53247219322c9fdd6010c935476aec4fd"),
+    ("GPL-2.0", "ceb13cdc7143ca5f58fb64136b9b542b00470d4db4dbcee1328c6250bf845b08"),
+    ("GPL-3.0", "baa8c61cc079d9c70231aa29a72e8c512fc4474cf75133d41bc9aacb7768b6eb"),
+    ("LGPL-2.0", "bb476e23f93731f9ea53e5e7b83c7b6a59108767834823d05ca20e6446de79bf"),
+    ("LGPL-2.1", "a85084b195866fe5aa81ee399a54444581dffa68e7bb2559e143718f6e2693bb"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "f77c59051c0127d677dcce7ba0d4733294974749a7b4155250912498d92767d6"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+)
+
 
 def canonical(text: Column) -> Column:
     """The canonical form; line breaks stay until the last step of :func:`digest`."""
@@ -112,10 +140,10 @@ def digest(form: Column) -> Column:
     return F.when(words != "", F.sha2(words, 256))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """``(digest, names)`` of a licence list."""
-    table = spark.createDataFrame(list(known), "name string, text string")
-    named = table.select("name", digest(canonical(F.col("text"))).alias("digest")).where("digest is not null")
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str], ...] = KNOWN_DIGESTS) -> DataFrame:
+    """``(digest, names)`` of a list of licence texts and one of digests of canonical forms."""
+    table = spark.createDataFrame(list(known), "name string, text string").select("name", digest(canonical(F.col("text"))).alias("digest"))
+    named = table.unionByName(spark.createDataFrame(list(digests), "name string, digest string")).where("digest is not null")
     return named.groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
 
 

@@ -145,12 +145,26 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 ('CC-BY-4.0', 'Licensed under CC BY 4.0.'),
 ('CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0.'),
 ('CC0-1.0', 'This work is dedicated to the public domain under CC0 1.0.')),
-known AS (SELECT d, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM (SELECT name, trim(regexp_replace(c, '[\x20\n]+', ' ', 'g')) AS d FROM (SELECT name, replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(lower(txt), '(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$', '', 'g'), '[!-/:-@\[-`{-~©®™“”‘’«»–—…·•]+', ' ', 'g'), '[\x20\t\x0b\x0c\r]+', ' ', 'g'), 'licence', 'license'), 'sub license', 'sublicense'), 'non commercial', 'noncommercial'), 'favour', 'favor'), 'acknowledgement', 'acknowledgment'), 'organisation', 'organization'), 'authorisation', 'authorization'), 'per cent', 'percent'), 'https', 'http') AS c FROM known_text)) GROUP BY d),
-f AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$', '', 'g'), '[!-/:-@\[-`{-~©®™“”‘’«»–—…·•]+', ' ', 'g'), '[\x20\t\x0b\x0c\r]+', ' ', 'g'), 'licence', 'license'), 'sub license', 'sublicense'), 'non commercial', 'noncommercial'), 'favour', 'favor'), 'acknowledgement', 'acknowledgment'), 'organisation', 'organization'), 'authorisation', 'authorization'), 'per cent', 'percent'), 'https', 'http') AS c FROM documents),
+known AS (SELECT h, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM (SELECT name, sha256(trim(regexp_replace(c, '[\x20\n]+', ' ', 'g'))) AS h FROM (SELECT name, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(lower(txt), '(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$', '', 'g'), '[!-/:-@\[-`{-~©®™“”‘’«»–—…·•]+', ' ', 'g'), '[\x20\t\x0b\x0c\r]+', ' ', 'g'), 'licence', 'license'), 'sub license', 'sublicense'), 'non commercial', 'noncommercial'), 'favour', 'favor'), 'acknowledgement', 'acknowledgment'), 'isation', 'ization'), 'analogue', 'analog'), 'artefact', 'artifact'), 'catalogue', 'catalog'), 'centre', 'center'), 'judgement', 'judgment'), 'labour', 'labor'), 'offence', 'offense'), 'practise', 'practice'), 'programme', 'program'), 'whilst', 'while'), 'wilful', 'willful'), 'per cent', 'percent'), 'https', 'http') AS c FROM known_text) UNION ALL SELECT * FROM (VALUES
+('Apache-2.0', 'ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100'),
+('Artistic-1.0', 'ddb49d591ecc4f65a223b9f53f330918100c323532a653c090d21b38e35a3a42'),
+('BSD-3-Clause', '3d151449461c0c776e892a4dc41cac0d251eb00c9fc49d2d48802d9bed818fe9'),
+('CC0-1.0', '96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f'),
+('GFDL-1.2', '19d29a7c800a0d85704b63b4c09d5cd01dd9a287c61e238f4717d8a9e75d214f'),
+('GFDL-1.3', 'e70f40f3a50995855f972521fe4eaa4af360a4597e5914977b6093cce5243480'),
+('GPL-1.0', 'ecffd792bbe30a8f068c26179a7995c53247219322c9fdd6010c935476aec4fd'),
+('GPL-2.0', 'ceb13cdc7143ca5f58fb64136b9b542b00470d4db4dbcee1328c6250bf845b08'),
+('GPL-3.0', 'baa8c61cc079d9c70231aa29a72e8c512fc4474cf75133d41bc9aacb7768b6eb'),
+('LGPL-2.0', 'bb476e23f93731f9ea53e5e7b83c7b6a59108767834823d05ca20e6446de79bf'),
+('LGPL-2.1', 'a85084b195866fe5aa81ee399a54444581dffa68e7bb2559e143718f6e2693bb'),
+('LGPL-3.0', 'aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be'),
+('MPL-1.1', 'f77c59051c0127d677dcce7ba0d4733294974749a7b4155250912498d92767d6'),
+('MPL-2.0', '95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9')) x(name, h)) GROUP BY h),
+f AS (SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*$', '', 'g'), '[!-/:-@\[-`{-~©®™“”‘’«»–—…·•]+', ' ', 'g'), '[\x20\t\x0b\x0c\r]+', ' ', 'g'), 'licence', 'license'), 'sub license', 'sublicense'), 'non commercial', 'noncommercial'), 'favour', 'favor'), 'acknowledgement', 'acknowledgment'), 'isation', 'ization'), 'analogue', 'analog'), 'artefact', 'artifact'), 'catalogue', 'catalog'), 'centre', 'center'), 'judgement', 'judgment'), 'labour', 'labor'), 'offence', 'offense'), 'practise', 'practice'), 'programme', 'program'), 'whilst', 'while'), 'wilful', 'willful'), 'per cent', 'percent'), 'https', 'http') AS c FROM documents),
 w AS (SELECT doc_id, trim(regexp_replace(c, '[\x20\n]+', ' ', 'g')) AS d FROM f),
-l AS (SELECT DISTINCT doc_id, trim(regexp_replace(x, '[\x20\n]+', ' ', 'g')) AS d FROM (SELECT doc_id, unnest(string_split(c, chr(10))) AS x FROM f)),
-n AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT doc_id, unnest(string_split(names, ',')) AS name FROM l JOIN known USING (d)) GROUP BY doc_id)
+l AS (SELECT DISTINCT doc_id, sha256(trim(regexp_replace(x, '[\x20\n]+', ' ', 'g'))) AS h FROM (SELECT doc_id, unnest(string_split(c, chr(10))) AS x FROM f)),
+n AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FROM (SELECT doc_id, unnest(string_split(names, ',')) AS name FROM l JOIN known USING (h)) GROUP BY doc_id)
 SELECT w.doc_id, CASE WHEN w.d <> '' THEN sha256(w.d) END AS text_digest, known.names AS license, coalesce(n.notices, '') AS notices
-FROM w LEFT JOIN known ON w.d = known.d LEFT JOIN n ON w.doc_id = n.doc_id""",
+FROM w LEFT JOIN known ON sha256(w.d) = known.h LEFT JOIN n ON w.doc_id = n.doc_id""",
     "op2_sharding": r"""SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents""",
 }

@@ -43,6 +43,8 @@ SPAN = 200
 GRAM = 16
 SEGMENT = 1 << 20
 _POSITION_BITS = 24
+#: So many tasks sort shards; beyond it a task takes shard after shard.
+_TASKS = 1 << 12
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
@@ -129,15 +131,12 @@ def regions(docs: DataFrame, span: int = SPAN) -> DataFrame:
     return docs.mapInArrow(run, _REGION)
 
 
-def _sort_shard(span: int, memory: int):
-    """Repeats of the regions of one shard, as ranges of windows."""
+def _sort_shards(span: int, memory: int):
+    """Repeats of the regions of shard after shard, rows in order of shard, as ranges of windows. Holds one shard."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def repeats(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         from .induced_sort import Shard
 
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
         table = pa.Table.from_batches(held).combine_chunks()
         strings = table.column("bytes").to_pylist()
         found = Shard(strings, span, memory).repeated()
@@ -152,7 +151,21 @@ def _sort_shard(span: int, memory: int):
                 for name, value in zip(out, (keys[0][k], keys[1][k], keys[2][k], a, e - a)):
                     out[name].append(value)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], names=list(out))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            while b.num_rows:
+                shard = b.column("shard").to_numpy()
+                if held and held[0].column("shard")[0].as_py() != shard[0]:
+                    yield repeats(held)
+                    held = []
+                same = int(np.searchsorted(shard, shard[0], side="right"))
+                held.append(b.slice(0, same))
+                b = b.slice(same)
+        if held:
+            yield repeats(held)
 
     return run
 
@@ -185,7 +198,7 @@ def _cut_bytes(span: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = 20_000, shard_bytes: int = 4 << 20, memory: int = 256 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = 20_000, shard_bytes: int = 4 << 20, memory: int = 8 << 20) -> DataFrame:
     """``(doc_id, spans)``: for each document that has any, the ranges [start,
     end) of bytes covered by repeated strings, sorted, overlapping ones apart."""
     spark = docs.sparkSession
@@ -205,7 +218,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, hot: int = 20_000, shard_b
     cut = materialize(text.join(asked.hint("shuffle_hash"), "doc_id").mapInArrow(_cut_bytes(span), "anchor long, hi long, lo long, bytes binary, hot boolean"), "region-bytes")
     volume = cut.where("not hot").agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0)).alias("b"), F.count("*").alias("n")).head()
     shards = max(1, math.ceil(volume.b / shard_bytes))
-    sorted_ = cut.where("not hot").select("anchor", "hi", "lo", "bytes").repartition(shards, "anchor").mapInArrow(_sort_shard(span, memory), "anchor long, hi long, lo long, at int, size int")
+    dealt = cut.where("not hot").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "anchor", "hi", "lo", "bytes").repartition(min(shards, _TASKS), "shard").sortWithinPartitions("shard")
+    sorted_ = dealt.mapInArrow(_sort_shards(span, memory), "anchor long, hi long, lo long, at int, size int")
     counted = cut.where("hot").select("anchor", "hi", "lo", "bytes").mapInArrow(_window_digests(span), "anchor long, hi long, lo long, at int, w1 long, w2 long")
     common = counted.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
     digested = counted.join(common, ["w1", "w2"]).select("anchor", "hi", "lo", "at", F.lit(1).alias("size"))

@@ -5,6 +5,7 @@ import hashlib
 import random
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -464,6 +465,18 @@ def test_bpe_pieces():
 # 9
 
 
+@pytest.mark.skipif(not Path("/usr/share/common-licenses/GPL-3").exists(), reason="no licence texts on this machine")
+def test_whole_licence_texts(spark):
+    names = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    rows = []
+    for k, f in enumerate(names):
+        text = Path("/usr/share/common-licenses", f).read_text(encoding="utf-8")
+        rows += [(10 * k, text), (10 * k + 1, "Copyright (c) 2020 A. Person\n" + text.upper().replace(" ", "  ").replace("ORGANIZATION", "organisation")), (10 * k + 2, text[:-200])]
+    found = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.known_digests(spark)).collect()}
+    for k, name in enumerate(names.values()):
+        assert [found[10 * k], found[10 * k + 1], found[10 * k + 2]] == [name, name, None]
+
+
 def test_licences(spark):
     mit = dict(licenses.KNOWN[:1])["MIT"]
     rows = [
