@@ -93,3 +93,20 @@ def joined_chunks(chunks: DataFrame) -> DataFrame:
     parts = F.array_sort(F.collect_list(F.struct("index", "chunk")))
     text = F.array_join(F.transform(parts, lambda p: p["chunk"]), "")
     return chunks.groupBy("upload_id").agg(F.unbase64(text).alias("content"))
+
+
+def read_pipe_table(spark: SparkSession, path: str) -> DataFrame:
+    """A text table with ``|`` between cells: the first such line is the header, rules of dashes fall out, cells are trimmed text."""
+    lines = global_index(spark.read.text(path).withColumn("_at", F.monotonically_increasing_id()).where(F.startswith("value", F.lit("|"))), [F.asc("_at")], "_n")
+    cells = F.transform(F.split(F.regexp_replace("value", r"^\|+|\|+$", ""), r"\|"), lambda c: F.trim(c))
+    head = lines.where("_n = 0").select(cells.alias("c")).first()  # one line
+    if head is None:
+        raise ValueError("no table")
+    body = lines.where("_n > 0").where(~F.contains("value", F.lit("---"))).select(cells.alias("c"))
+    return body.select(*[F.try_element_at("c", F.lit(k + 1)).alias(name) for k, name in enumerate(head["c"])])
+
+
+def read_upload(spark: SparkSession, path: str) -> DataFrame:
+    """An upload with a header line; header and cells are trimmed text."""
+    raw = read_table(spark, path)
+    return raw.select(*[F.trim(F.col(f"`{c}`").cast("string")).alias(c.strip()) for c in raw.columns])

@@ -127,8 +127,14 @@ def test_batches_round_trip(spark):
 
 
 def test_id_columns_and_headers(spark):
-    df = spark.createDataFrame([("a" * 24, "123456", "x"), ("b" * 24, "1234567", "7")], "Who string, order string, other string")
-    assert {(r.column, r.kind) for r in review.detect_id_columns(df).collect()} == {("Who", "uid"), ("order", "audit_order")}
+    uid, order = [c * 24 for c in "ab"], ["123456", "1234567"]
+    found = lambda columns, *cells: {(r.column, r.kind, r.chosen) for r in review.detect_id_columns(spark.createDataFrame(list(zip(*cells)), [*columns])).collect()}
+    assert found(["Uid", "x"], uid, order) == {("Uid", "uid", True)}  # no hint in the second header
+    assert found(["uid", "task_id"], uid, order) == {("uid", "uid", False), ("task_id", "audit_order", True)}
+    assert found(["task_id", "user_id"], order, uid) == {("task_id", "audit_order", False), ("user_id", "uid", True)}
+    assert found(["uid", "task_id", "history_id"], uid, order, order) == {("uid", "uid", False), ("task_id", "audit_order", True), ("history_id", "audit_order", False)}
+    assert found(["uid", "task_id"], order, ["1", "123456"]) == set()
+    df = spark.createDataFrame([("a", "b")], "Who string, order string")
     assert resolve_column(df, ["uid", "who"]) == "Who" and resolve_column(df, ["nothing"]) is None
     with pytest.raises(ValueError, match="lacks embeds"):
         require_columns(df, ["embeds"])
