@@ -13,8 +13,9 @@ without dropping a link. Buckets give spanning edges, not all pairs.
 
 Edge cases: null or empty text and text of white space alone has fingerprint
 zero and links like any other; fewer than ``shingle`` words are one shingle;
-rows with equal ids stay apart rows; an empty table gives an empty result;
-columns of the input other than id and text are ignored.
+rows with equal ids stay apart rows; a row without an id gets the component of
+the rows that have one, or null; an empty table gives an empty result; columns
+of the input other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -211,7 +212,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``(doc_id, fp, component_id)``, one row for each input row."""
     fps = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     reps = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fp-reps")
-    groups = connected_components(links(reps, bucket)).select(F.col("node").alias("rep"), "component")
+    groups = connected_components(links(reps.where("rep is not null"), bucket)).select(F.col("node").alias("rep"), "component")
     named = reps.join(groups, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 

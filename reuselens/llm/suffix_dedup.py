@@ -21,8 +21,9 @@ Digests of regions and windows are 128-bit; everything else is exact.
 
 Edge cases: null is the empty text; texts shorter than ``span`` lose nothing
 and give nothing to others; copies lose everything, also within one document;
-ids must name rows, and repeated rows (same id, same text) count as two
-documents; other columns are ignored; an empty table gives an empty table.
+ids must name texts: repeated rows (same id, same text) count as two documents,
+and a row without an id goes by a hash of its text; other columns are ignored;
+an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -244,7 +245,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, with_bytes: bool = False, **limits: int) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept])`` of every row."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    spans = repeated_spans(own, span, **limits)
+    key = F.coalesce("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))))
+    spans = repeated_spans(own.select(key.alias("doc_id"), "text"), span, **limits).withColumnRenamed("doc_id", "_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -262,4 +264,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *arrays], names=["doc_id", *names[:n]])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_bytes else "")
-    return own.join(spans.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return own.withColumn("_key", key).join(spans.hint("shuffle_hash"), "_key", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
