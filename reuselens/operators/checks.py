@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import normalise as N
 from ..plans.ordering import global_index
 from .reports import concentration_checked
+from .sampling import expand_clusters
 
 #: Fixed value: concentrations are the same up to this.
 _SAME = 1e-4
@@ -41,7 +42,9 @@ def expansion_checks(rows: DataFrame, samples: DataFrame, expanded: DataFrame, o
     ``ordered`` is the written table with its ``place``, from which A8 takes
     the order of rows; without it A8 looks at the canonical order itself.
     ``detail`` counts what is wrong. A cluster counts as hit if a sampled
-    account lies in it and it was not dropped for having a single account.
+    account lies in it and it is not dropped for having a single account once
+    each account and url has gone to its first cluster; A10 names those that
+    have several accounts in the whole table.
     """
     sampled = samples.select(F.trim("user_id").alias("user_id")).where("user_id <> ''").distinct()
     flagged = rows.join(sampled.withColumn("_s", F.lit(True)), "user_id", "left")
@@ -50,19 +53,18 @@ def expansion_checks(rows: DataFrame, samples: DataFrame, expanded: DataFrame, o
     hit_any = flagged.where("_s and cluster_id >= 0").select("cluster_id").distinct()
     inside = expanded.where("cluster_id >= 0")
     in_file = inside.select("cluster_id").distinct()
-    users = rows.where("cluster_id >= 0").groupBy("cluster_id").agg(F.min("user_id").alias("_a"), F.max("user_id").alias("_b"))
-    dropped = hit_any.join(in_file, "cluster_id", "left_anti")
-    solo = users.where("_a = _b").select("cluster_id")
+    accounts = lambda df: df.where("cluster_id >= 0").groupBy("cluster_id").agg(F.min("user_id").alias("_a"), F.max("user_id").alias("_b"))
+    solo = accounts(expand_clusters(rows, samples, keep_solo=True)).where("_a = _b").select("cluster_id")
     hit = hit_any if keep_solo else hit_any.join(solo, "cluster_id", "left_anti")
     hit_rows = rows.join(hit, "cluster_id", "left_semi")
-    account = lambda flag: expanded.where(F.col("is_sample_user") == flag).select("user_id").distinct()
-    found, others = account(True), account(False)
+    of = lambda flag: expanded.where(F.col("is_sample_user") == flag).select("user_id").distinct()
+    found, others = of(True), of(False)
     keys = ["user_id", "qualification_url"]
     detail = lambda df: _count(df, "detail")
     placed = ordered if ordered is not None else global_index(expanded, [F.asc(F.col("cluster_id") < 0), F.asc("cluster_id"), F.asc("user_id"), F.asc("qualification_url")], "place")
     key = F.struct((F.col("cluster_id") < 0).alias("o"), F.when(F.col("cluster_id") >= 0, F.col("cluster_id")).otherwise(0).alias("c"), F.col("user_id"), F.col("qualification_url"))
     here, after = placed.select("place", key.alias("k")), placed.select((F.col("place") - 1).alias("place"), key.alias("later"))
-    left = inside.groupBy("cluster_id").agg(F.min("user_id").alias("_a"), F.max("user_id").alias("_b")).where("_a = _b")
+    left = accounts(inside).where("_a = _b")
     parts = [
         ("A1_clusters_are_those_hit", _differ(in_file, hit)),
         ("A2_samples_are_those_matched", _differ(found, matched)),
@@ -73,7 +75,7 @@ def expansion_checks(rows: DataFrame, samples: DataFrame, expanded: DataFrame, o
         ("A7_no_row_missing", detail(hit_rows.select(*keys).distinct().join(expanded.select(*keys), keys, "left_anti"))),
         ("A8_canonical_order", detail(here.join(after, "place").where("k > later"))),
         ("A9_no_single_account", detail(left.where(F.lit(not keep_solo)))),
-        ("A10_only_single_accounts_dropped", detail(dropped.join(users.where("_a <> _b"), "cluster_id", "left_semi"))),
+        ("A10_only_single_accounts_dropped", detail(solo.where(F.lit(not keep_solo)).join(accounts(rows).where("_a <> _b"), "cluster_id", "left_semi"))),
     ]
     return _listed(parts)
 

@@ -290,13 +290,13 @@ def _checks_sql(table: str) -> str:
         "A7_no_row_missing": f"(SELECT count(DISTINCT (user_id, qualification_url)) FROM fx_cluster c WHERE cluster_id IN (SELECT cluster_id FROM h2) AND NOT EXISTS (SELECT 1 FROM {table} t WHERE t.user_id = c.user_id AND t.qualification_url = c.qualification_url))",
         "A8_canonical_order": "0",
         "A9_no_single_account": f"(SELECT count(*) FROM (SELECT cluster_id FROM {table} WHERE cluster_id >= 0 GROUP BY 1 HAVING count(DISTINCT user_id) = 1))",
-        "A10_only_single_accounts_dropped": f"(SELECT count(*) FROM hit WHERE cluster_id NOT IN (SELECT cluster_id FROM {table}) AND cluster_id NOT IN (SELECT cluster_id FROM one))",
+        "A10_only_single_accounts_dropped": "(SELECT count(*) FROM solo WHERE cluster_id NOT IN (SELECT cluster_id FROM one))",
     }
     rows = " UNION ALL ".join(f"SELECT '{code}' AS code, CAST({sql} AS BIGINT) AS detail" for code, sql in bad.items())
     return f"SELECT code, detail = 0 AS ok, detail FROM ({rows})"
 
 
-HITS = f"{EXPAND_B}, one AS (SELECT cluster_id FROM fx_cluster WHERE cluster_id >= 0 GROUP BY 1 HAVING count(DISTINCT user_id) = 1), h2 AS (SELECT cluster_id FROM hit WHERE cluster_id NOT IN (SELECT cluster_id FROM one)), mt AS (SELECT DISTINCT user_id FROM fx_sample WHERE user_id IN (SELECT user_id FROM fx_cluster))"
+HITS = f"{EXPAND_B}, one AS (SELECT cluster_id FROM fx_cluster WHERE cluster_id >= 0 GROUP BY 1 HAVING count(DISTINCT user_id) = 1), h2 AS (SELECT cluster_id FROM hit WHERE cluster_id NOT IN (SELECT cluster_id FROM solo)), mt AS (SELECT DISTINCT user_id FROM fx_sample WHERE user_id IN (SELECT user_id FROM fx_cluster))"
 BROKEN = "broken AS (SELECT * FROM expanded WHERE cluster_id <> 0 OR is_sample_user UNION ALL SELECT * FROM expanded WHERE cluster_id = 1 UNION ALL SELECT * REPLACE (NOT is_sample_user AS is_sample_user) FROM expanded WHERE cluster_id = 2)"
 
 

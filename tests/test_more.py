@@ -182,7 +182,7 @@ def test_clusters_by_pixels(spark):
         v = groups[k // 4] + 0.001 * rng.normal(size=16)
         rows.append((k, [float(a) for a in v / np.linalg.norm(v)]))
         image = (template if k < 8 else other).copy()
-        image[: 4 + (4 if 4 <= k < 8 else 0), :8] = k  # a changed part
+        image[: 4 + (4 if 4 <= k < 8 else 0), :8] = 20 * k  # a changed part
         images.append((k, 64, 64, image.tobytes()))
     df = spark.createDataFrame(rows, "row_idx long, embedding array<double>")
     pixels = spark.createDataFrame(images, "row_idx long, h int, w int, data binary")
@@ -215,7 +215,8 @@ def test_known_images(spark):
 def test_spherical_kmeans_labels_every_row(spark):
     rng = np.random.default_rng(4)
     centres = np.eye(6)
-    rows = [(k, [float(x) for x in (c := centres[k % 6] + 0.05 * rng.normal(size=6)) / np.linalg.norm(c)]) for k in range(120)]
+    vectors = np.tile(centres, (20, 1)) + 0.05 * rng.normal(size=(120, 6))
+    rows = [(k, [float(x) for x in v / np.linalg.norm(v)]) for k, v in enumerate(vectors)]
     got = similarity.cluster_kmeans(spark.createDataFrame(rows, "row_idx int, embedding array<double>"), 6, 20, (1, 2, 3)).collect()
     by = {}
     for r in got:
