@@ -180,13 +180,13 @@ def representatives(rows: DataFrame, vector: str = "embedding", ranked: int = 5)
     """Per cluster the row nearest to the centroid, with ``cluster_size`` over all rows and the urls of the ``ranked`` nearest.
 
     Rows without a vector count for the size only; a cluster without any
-    vector has no representative. Ties go to the smaller ``row_idx``.
+    vector has no representative. Ties (to nine places) go to the smaller ``row_idx``.
     """
     inside = rows.where("cluster_id >= 0")
     sizes = inside.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"))
     own = inside.where(F.size(vector) > 0)
     near = own.join(centroids(own, "cluster_id", vector), "cluster_id").withColumn("similarity", cosine(F.col(vector), F.col("centroid")))
-    place: Column = F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.desc("similarity"), "row_idx"))
+    place: Column = F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.desc(F.round("similarity", 9)), "row_idx"))
     top = near.withColumn("_p", place).where(F.col("_p") <= ranked)
     first = lambda c: F.max(F.when(F.col("_p") == 1, F.col(c))).alias(c)
     urls = F.transform(F.array_sort(F.collect_list(F.struct("_p", "qualification_url"))), lambda s: s["qualification_url"]).alias("ranked_urls")

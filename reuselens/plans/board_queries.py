@@ -16,7 +16,7 @@ from ..operators import sampling as P
 from ..operators import similarity as C
 from ..sources import tables
 from . import fixtures as X
-from .catalogue import ANN, BAD3, CHECKED, EXPAND_B, LABELS, PER_USER, REG, SCOPE, SOURCES, SPLIT, _cluster_annotations, _inputs, _registered, _vectors, cert_method, query, violation_dist
+from .catalogue import ANN, BAD3, ORACLE_SQL, CHECKED, EXPAND_B, LABELS, PER_USER, REG, SCOPE, SOURCES, SPLIT, _cluster_annotations, _inputs, _registered, _vectors, cert_method, parse_embedding, query, violation_dist
 from .materialize import materialize
 from .ordering import global_index
 
@@ -429,3 +429,27 @@ def label_words(spark, sf_dir):
 @query("SELECT page_id, row_number() OVER (ORDER BY url DESC, page_id) - 1 AS place FROM pages")
 def global_order(spark, sf_dir):
     return global_index(spark.read.parquet(f"{sf_dir}/pages.parquet"), [F.desc("url"), F.asc("page_id")], "place").select("page_id", "place")
+
+
+# -- SQL of queries registered before, which take the pieces above
+
+_CRC_OF_ID = CRC.format("concat(user_id, '_seed42')")
+ORACLE_SQL["hash_sample"] = f"WITH {X.SETTLEMENT_SQL} SELECT user_id, {_CRC_OF_ID} AS hash FROM (SELECT DISTINCT user_id FROM fx_settlement) ORDER BY hash, user_id LIMIT 500"
+HITS_SQL = f"""{X.CLUSTER_SQL}, {RANKS}, t AS (SELECT sqrt(-2 * ln(1 - (1 - (1 - 0.99) / 2))) AS t), z AS (SELECT t - (2.515517 + t * (0.802853 + t * 0.010328)) / (1 + t * (1.432788 + t * (0.189269 + t * 0.001308))) AS z FROM t),
+sizes AS (SELECT CAST(m AS DOUBLE) AS margin, CAST(ceil(z * z * 0.09 / (m * m) * n / (z * z * 0.09 / (m * m) + n - 1)) AS BIGINT) AS n FROM (VALUES (0.02), (0.025), (0.03), (0.035), (0.04), (0.05)) x(m), z, (SELECT count(DISTINCT user_id) AS n FROM fx_cluster)),
+per AS (SELECT cluster_id, min(CASE WHEN user_id = 'u7' THEN 0 ELSE rank END) AS rank FROM fx_cluster JOIN ranks USING (user_id) WHERE cluster_id >= 0 GROUP BY 1),
+hits AS (SELECT margin, n, (SELECT count(*) FROM per WHERE rank <= n) AS clusters FROM sizes)"""
+ORACLE_SQL["predict_hits"] = f"WITH {HITS_SQL} SELECT * FROM hits"
+ORACLE_SQL["choose_margin"] = f"""WITH {HITS_SQL}, o AS (SELECT *, clusters > 40 AS alarm, CASE WHEN clusters <= 40 AND margin = 0.02 THEN 0 WHEN clusters <= 40 AND margin = 0.03 THEN 1 WHEN clusters <= 40 THEN 2 ELSE 3 END AS o FROM hits)
+SELECT margin, n, clusters, alarm FROM o ORDER BY o, CASE WHEN o = 3 THEN -margin ELSE margin END LIMIT 1"""
+ORACLE_SQL["pick_representative"] = f"""WITH RECURSIVE {MEANS}, near AS (SELECT labels.cluster_id, row_idx, labels.user_id, concat('v/', CAST(row_idx AS VARCHAR)) AS qualification_url, list_cosine_similarity(v.e, c) AS s FROM labels JOIN v ON v.id = row_idx JOIN cent ON cent.cluster_id = labels.cluster_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY round(s, 9) DESC, row_idx) AS p, count(*) OVER (PARTITION BY cluster_id) AS cluster_size FROM near)
+SELECT cluster_id, max(row_idx) FILTER (p = 1) AS row_idx, max(user_id) FILTER (p = 1) AS user_id, max(qualification_url) FILTER (p = 1) AS qualification_url, round(max(s) FILTER (p = 1), 4) AS similarity, list(qualification_url ORDER BY p) FILTER (p <= 5) AS ranked_urls, max(cluster_size) AS cluster_size FROM r GROUP BY 1"""
+
+
+@query("""SELECT vec_id, len(embedding) AS dims, round(sqrt(list_dot_product(n, n)), 4) AS norm, list_position(embedding, list_max(embedding)) AS at, round(list_max(n), 3) AS largest
+FROM (SELECT vec_id, embedding, list_transform(CAST(embedding AS DOUBLE[]), lambda x: x / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))) AS n FROM embeddings)""")
+def parse_embedding_figures(spark, sf_dir):
+    v = F.col("embedding").cast("array<double>")
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    return parse_embedding(spark, sf_dir).select("vec_id", F.size(v).alias("dims"), F.round(norm, 4).alias("norm"), F.array_position(v, F.array_max(v)).cast("int").alias("at"), F.round(F.array_max(v), 3).alias("largest"))
