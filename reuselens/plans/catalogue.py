@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import normalise as N
 from ..functions import statistics as S
 from ..functions import vectors as V
+from ..functions.let import let
 from ..operators import reports as R
 from ..operators import review as W
 from ..operators import sampling as P
@@ -140,8 +141,9 @@ def cluster_kmeans(spark, sf_dir):
 
 @query()
 def pick_representative(spark, sf_dir):
-    rows = C.cluster_threshold(_vectors(spark, sf_dir), 0.4, 10)
-    return C.representatives(materialize(rows, "labelled")).withColumn("similarity", F.round("similarity", 4))
+    rows = materialize(C.cluster_threshold(_vectors(spark, sf_dir), 0.4, 10).drop("embedding"), "labelled")
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("row_idx"), let(V.norm(F.col("embedding")), lambda n: F.transform("embedding", lambda x: x.cast("double") / n)).alias("embedding"))
+    return C.representatives(rows.join(e, "row_idx")).withColumn("similarity", F.round("similarity", 4))
 
 
 @query(f"WITH {X.CLUSTER_SQL} SELECT * FROM fx_cluster")
