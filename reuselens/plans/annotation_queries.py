@@ -289,8 +289,8 @@ def sort_expand_a(spark, sf_dir):
 
 
 @query(f"""WITH {C_SQL}, t AS (SELECT DISTINCT user_id FROM fx_cluster WHERE is_target_user), b AS (SELECT DISTINCT user_id FROM fx_cluster WHERE trade_first_name = 'en')
-SELECT (SELECT count(*) FROM t) AS today, (SELECT count(*) FROM b) AS before, (SELECT count(*) FROM t WHERE user_id IN (SELECT user_id FROM b)) AS overlap, false AS repeated
-UNION ALL SELECT (SELECT count(*) FROM t), (SELECT count(*) FROM t), (SELECT count(*) FROM t), true""")
+SELECT today, before, overlap, before > 0 AND overlap = before AND overlap = today AS repeated FROM (SELECT (SELECT count(*) FROM t) AS today, (SELECT count(*) FROM b) AS before, (SELECT count(*) FROM t WHERE user_id IN (SELECT user_id FROM b)) AS overlap)
+UNION ALL SELECT n, n, n, n > 0 FROM (SELECT count(*) AS n FROM t)""")
 def guard_same_users(spark, sf_dir):
     rows = X.clusters(spark, sf_dir)
     t = rows.where("is_target_user")
