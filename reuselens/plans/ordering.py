@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +19,10 @@ def global_index(df: DataFrame, order: list[Column], name: str = "index") -> Dat
     rows = materialize(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ordered")
     part = F.shiftright("_at", 33)
     sizes = [(r["p"], r["n"]) for r in rows.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()]  # one row a partition
-    shift, total = {}, 0
+    offsets, total = np.zeros(max((p for p, _ in sizes), default=0) + 1, np.int64), 0
     for p, n in sorted(sizes):
-        shift[p], total = total, total + n
-    if not shift:
-        return rows.withColumn(name, F.lit(0).cast("long")).drop("_at")
-    offsets = F.create_map(*[F.lit(x).cast("long") for kv in shift.items() for x in kv])
-    return rows.withColumn(name, offsets[part] + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at")
+        offsets[p], total = total, total + n
+    # one array literal, looked up by place
+    out = rows.withColumn(name, F.get(F.lit(offsets), part.cast("int")) + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at")
+    out.table_path = rows.table_path  # so that it can be dropped
+    return out

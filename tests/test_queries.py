@@ -12,6 +12,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def _plain(v):
     if isinstance(v, float):
         return round(v, 6)
+    if isinstance(v, list):
+        return tuple(map(_plain, v))
     return str(v) if hasattr(v, "isoformat") else v
 
 
