@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.materialize import materialize, new_path
-from . import bpe, compact_windows, licenses, packing, pii, quality, sharding, simhash, suffix_dedup, webp
+from . import bpe, compact_windows, exact_dedup, filter_audit, licenses, merkle, packing, pii, quality, sharding, simhash, suffix_dedup, webp
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,56 @@ def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.near_passages(documents(spark, sf_dir))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies among whole documents, white space aside."""
+    found = exact_dedup.exact_copies(documents(spark, sf_dir), every_digest=True)
+    return found.withColumnRenamed("digest", "text_sha256")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of all documents by language, its proofs, and their check after a tampering."""
+    return merkle.audited(documents(spark, sf_dir))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over whole documents in all 120 orders."""
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def _merkle_sql(depth: int = 8, top: int = 3) -> str:
+    """The manifest in SQL, for groups of up to 8 ** ``depth`` leaves and up to 8 ** ``top`` groups."""
+    leaf = lambda t: "sha256(concat(" + ", ".join(f"coalesce(concat(octet_length(encode(CAST({c} AS VARCHAR))), ':', CAST({c} AS VARCHAR)), '-')" for c in ("doc_id", "source", "lang", "n_chars", t)) + "))"
+    crc = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda z: ascii(z)::BIGINT)), lambda c, z: list_reduce(list_concat([xor(c, z)], [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)), 4294967295::BIGINT)"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def level(name: str, source: str) -> str:
+        """One node a row with what its siblings are; a node alone in its group stays as it is."""
+        run = "PARTITION BY k, idx // 8 ORDER BY idx ROWS BETWEEN"
+        return f"""{name} AS (SELECT k, idx, n, h, CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS before,
+  CASE WHEN n > 1 THEN coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS after FROM {source})"""
+
+    def up(name: str, below: str) -> str:
+        return f"{name} AS (SELECT DISTINCT k, idx // 8 AS idx, (n + 7) // 8 AS n, CASE WHEN n > 1 THEN sha256(concat(before, h, after)) ELSE h END AS h FROM {below})"
+
+    parts = [
+        f"""leaves AS (SELECT doc_id, lang, {leaf("text")} AS leaf, {leaf(f"CASE WHEN {crc} % 3 = 0 THEN translate(text, '{upper}', '{lower}') ELSE text END")} AS tampered FROM documents)""",
+        "z0 AS (SELECT coalesce('=' || lang, '') AS k, doc_id, tampered, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n, leaf AS h FROM leaves)",
+        level("l0", "z0"),
+    ]
+    for d in range(1, depth + 1):
+        parts += [up(f"z{d}", f"l{d - 1}"), level(f"l{d}", f"z{d}")]
+    parts += [f"t0 AS (SELECT '' AS k, k AS g, row_number() OVER (ORDER BY k) - 1 AS idx, count(*) OVER () AS n, h FROM z{depth})", level("u0", "t0")]
+    for d in range(1, top + 1):
+        parts += [up(f"t{d}", f"u{d - 1}"), level(f"u{d}", f"t{d}")]
+    steps = [(f"l{d}.before", f"l{d}.after", f"l{d}.n") for d in range(depth)] + [(f"u{d}.before", f"u{d}.after", f"u{d}.n") for d in range(top)]
+    joins = " ".join([f"JOIN l{d} ON l{d}.k = z0.k AND l{d}.idx = z0.idx // {8**d}" for d in range(depth)] + ["JOIN t0 ON t0.g = z0.k"] + [f"JOIN u{d} ON u{d}.idx = t0.idx // {8**d}" for d in range(top)])
+    paths = ", ".join(f"{{'b': {b}, 'a': {a}, 'n': {n}}}" for b, a, n in steps)
+    parts.append(f"p AS (SELECT z0.doc_id, z0.h AS leaf, t0.h AS subroot, z0.tampered, [{paths}] AS path FROM z0 {joins})")
+    fold = "list_reduce(list_concat([{'b': '', 'a': tampered, 'n': 1}], path), lambda x, y: {'b': '', 'a': CASE WHEN y.n > 1 THEN sha256(concat(y.b, x.a, y.a)) ELSE x.a END, 'n': 1}).a"
+    parts.append(f"f AS (SELECT doc_id, leaf, subroot, (SELECT max(h) FROM t{top}) AS root, sha256(array_to_string(list_transform(path, lambda s: concat(s.b, s.a)), '')) AS proof_sha256, {fold} AS folded_root FROM p)")
+    return "WITH " + ",\n".join(parts) + "\nSELECT *, folded_root = root AS verified FROM f"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_compact_windows": op7_compact_windows,
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -93,6 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
     "op6_quality": op6_quality,
     "op4_simhash": op4_simhash,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_merkle": op12_merkle,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -167,4 +220,25 @@ n AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS notices FRO
 SELECT w.doc_id, CASE WHEN w.d <> '' THEN sha256(w.d) END AS text_digest, known.names AS license, coalesce(n.notices, '') AS notices
 FROM w LEFT JOIN known ON sha256(w.d) = known.h LEFT JOIN n ON w.doc_id = n.doc_id""",
     "op2_sharding": r"""SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents""",
+    "op11_exact_dedup": r"""WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+g AS (SELECT *, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op12_merkle": _merkle_sql(),
+    "op13_filter_audit": r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 3 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 16 ELSE 0 END AS mask FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, 1 << (ascii(filter_order[step]) - 65) AS own,
+    CAST(coalesce(list_sum(list_transform(string_split(filter_order[1:step - 1], ''), lambda z: CASE WHEN z = '' THEN 0 ELSE 1 << (ascii(z) - 65) END)), 0) AS INTEGER) AS before FROM o, (SELECT unnest(range(1, 6)) AS step)),
+x AS (SELECT part, filter_order, step, n, good, toxic, mask, own, mask & own <> 0 AS fails, mask & before <> 0 AS gone FROM c, s),
+r AS (SELECT part, filter_order, step, own, sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost FROM x GROUP BY ALL),
+v AS (SELECT part, own, sum(removed) AS shapley FROM r GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+    CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley FROM r JOIN v USING (part, own)""",
 }
