@@ -48,8 +48,9 @@ def _depth(most: int) -> int:
 
 
 def _grow(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
-    """Levels ``(k, idx, up, n, h, before, after, parent)`` of the groups of ``nodes (k, idx, n, h)``, the leaves first,
-    and ``(k, h, level)``: each group's root and the level on which it stands."""
+    """Levels ``(k, idx, up, n, h, before, after, parent, ..)`` of the groups of ``nodes (k, idx, n, h, ..)``, the leaves first,
+    and ``(k, h, level)``: each group's root and the level on which it stands. What else leaves hold stays with them."""
+    rest = [c for c in nodes.columns if c not in ("k", "idx", "n", "h")]
     runs = Window.partitionBy("k", "up").orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     at = (F.col("idx") % FANOUT).cast("int")
     lone = lambda df, level: df.where("n = 1").select("k", "h", F.lit(level).alias("level"))
@@ -60,7 +61,7 @@ def _grow(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
             "k", "idx", "up", "n", "h",
             F.array_join(F.slice("run", F.lit(1), at), "").alias("before"),
             F.array_join(F.slice("run", at + 2, F.lit(FANOUT)), "").alias("after"),
-            F.sha2(F.array_join("run", ""), 256).alias("parent"),
+            F.sha2(F.array_join("run", ""), 256).alias("parent"), *(rest if depth == 0 else []),
         )
         levels.append(materialize(level, "merkle-level"))
         nodes = levels[-1].select("k", F.col("up").alias("idx"), F.ceil(F.col("n") / FANOUT).alias("n"), F.col("parent").alias("h")).distinct()
@@ -68,16 +69,21 @@ def _grow(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
     return levels, roots
 
 
-def _paths(levels: list[DataFrame], roots: DataFrame) -> DataFrame:
-    """``(k, idx, path, ..)`` of the leaves: siblings level by level, then the path of ``roots (k, level, path, ..)``."""
+def _paths(nodes: DataFrame, levels: list[DataFrame], roots: DataFrame, carry: str) -> DataFrame:
+    """``(carry, path, ..)`` of the leaves ``nodes (k, n, carry)``: siblings level by level, then the path of ``roots (k, level, path, ..)``.
+
+    Nodes of a level join the paths of their parents, an eighth as many rows.
+    """
     rest = [c for c in roots.columns if c not in ("k", "level", "path")]
     standing = lambda level: roots.where(F.col("level") == level).select("k", F.lit(0).cast("long").alias("idx"), "path", *rest)
     found = standing(len(levels))
     for depth, level in reversed(list(enumerate(levels))):
         above = found.withColumnRenamed("idx", "up").withColumnRenamed("path", "_above")
         path = F.concat(F.array(F.struct("before", "after")), F.col("_above")).alias("path")
-        found = level.select("k", "idx", "up", "before", "after").join(above, ["k", "up"]).select("k", "idx", path, *rest).unionByName(standing(depth))
-    return found
+        joined = level.join(above, ["k", "up"])
+        found = joined.select("k", "idx", path, *rest).unionByName(standing(depth)) if depth else joined.select(carry, path, *rest)
+    lone = nodes.where("n = 1").select("k", carry).join(standing(0).drop("idx"), "k").select(carry, "path", *rest)
+    return found.unionByName(lone) if levels else lone
 
 
 def manifest(leaves: DataFrame, group: str, order: list[str], leaf: str = "leaf") -> tuple[DataFrame, str | None]:
@@ -96,16 +102,14 @@ def manifest(leaves: DataFrame, group: str, order: list[str], leaf: str = "leaf"
     if not count:
         return leaves.withColumns({"subroot": F.lit(None).cast("string"), "path": F.lit(None).cast(_PATH)}), None
 
-    levels, roots = _grow(rows.select("k", "idx", "n", "h"), most)
+    levels, roots = _grow(rows, most)
     roots = materialize(roots, "merkle-roots")
     tops = materialize(global_index(roots, [F.asc("k")], "idx"), "merkle-tops")
-    above, root = _grow(tops.select(F.lit("").alias("k"), "idx", F.lit(count).cast("long").alias("n"), "h"), count)
+    nodes = tops.select(F.lit("").alias("k"), "idx", F.lit(count).cast("long").alias("n"), "h", F.struct(F.col("k"), "level", F.col("h").alias("subroot")).alias("top"))
+    above, root = _grow(nodes, count)
     root = materialize(root.withColumn("path", F.array().cast(_PATH)), "merkle-root")
-    over = _paths(above, root).select("idx", "path")
-    ends = tops.join(over, "idx").select("k", "level", "path", F.col("h").alias("subroot"))
-    paths = _paths(levels, materialize(ends, "merkle-ends"))
-    out = rows.select("k", "idx", "carried").join(paths, ["k", "idx"]).select("carried.*", "subroot", "path")
-    return out, root.first()["h"]  # one row
+    ends = materialize(_paths(nodes, above, root.drop("h"), "top").select("top.*", "path"), "merkle-ends")
+    return _paths(rows, levels, ends, "carried").select("carried.*", "subroot", "path"), root.first()["h"]  # one row
 
 
 def proof_hash(path: Column) -> Column:
