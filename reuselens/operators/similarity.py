@@ -76,7 +76,11 @@ def candidate_edges(neighbours: DataFrame, least: float) -> DataFrame:
 
 def label_clusters(rows: DataFrame, edges: DataFrame, id_col: str = "row_idx") -> DataFrame:
     """``rows`` with ``cluster_id``: components by size, then by their smallest row; -1 for a row without an edge."""
-    members = materialize(connected_components(edges), "cluster-members")
+    return number_clusters(rows, materialize(connected_components(edges), "cluster-members"), id_col)
+
+
+def number_clusters(rows: DataFrame, members: DataFrame, id_col: str = "row_idx") -> DataFrame:
+    """``rows`` with ``cluster_id``, from ``members (node, component)``, where a component is named by its smallest row."""
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
     ranked = global_index(sizes, [F.desc("size"), F.asc("component")], "cluster_id").select("component", "cluster_id")
     labels = members.join(ranked, "component").select(F.col("node").alias("_node"), F.col("cluster_id").cast("int").alias("cluster_id"))

@@ -11,6 +11,7 @@ from ..functions import normalise as N
 from ..functions import statistics as S
 from ..functions import vectors as V
 from ..functions.let import let
+from ..operators import density as D
 from ..operators import reports as R
 from ..operators import review as W
 from ..operators import sampling as P
@@ -134,6 +135,11 @@ def cluster_threshold(spark, sf_dir):
     return C.cluster_threshold(_vectors(spark, sf_dir), 0.4, 10).select("row_idx", "user_id", "cluster_id")
 
 
+@query()
+def cluster_hdbscan(spark, sf_dir):
+    return D.cluster_hdbscan(_vectors(spark, sf_dir), 16).select("row_idx", "cluster_id")
+
+
 @query()
 def cluster_kmeans(spark, sf_dir):
     return C.cluster_kmeans(_vectors(spark, sf_dir), 20, 10, (42,)).select("row_idx", "cluster_id")
