@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import normalise as N
 from ..functions import statistics as S
+from ..functions.alignment import orb_align
 from ..operators import boards as B
 from ..operators import checks as K
 from ..operators import merging as M
@@ -392,6 +394,30 @@ def cluster_pixel_match(spark, sf_dir):
     return M.cluster_pixels(v, _images(v, labels), near=0.3, rate=0.9, k=10, sure=0.99, merge=0.3, low=0.7).select("row_idx", "cluster_id")
 
 
+def _moved_images(labelled: DataFrame) -> DataFrame:
+    """120 x 120 views of one larger picture a label, each row's a few pixels away from the next one's."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for row, label in zip(b["row_idx"].tolist(), b["label"].tolist()):
+                rng = np.random.default_rng(label)
+                picture = rng.integers(0, 256, (14, 14, 3)).astype(np.uint8).repeat(10, axis=0).repeat(10, axis=1)
+                for x, y, side in rng.integers(0, 124, (60, 3)):
+                    picture[y : y + 4 + side % 12, x : x + 4 + side % 9] = rng.integers(0, 256, 3)
+                out.append(picture[row % 4 : row % 4 + 120, row % 3 * 2 : row % 3 * 2 + 120].tobytes())
+            yield b.assign(h=120, w=120, data=out)[["row_idx", "h", "w", "data"]]
+
+    return labelled.select("row_idx", "label").mapInPandas(run, "row_idx long, h int, w int, data binary")
+
+
+@query()
+def cluster_pixel_aligned(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("row_idx"), "label")
+    images = materialize(_moved_images(labels), "moved-images")
+    return M.cluster_pixels(_vectors(spark, sf_dir), images, near=0.4, k=10, merge=None, align=orb_align(300)).select("row_idx", "cluster_id")
+
+
 # -- samples and vectors, again in SQL
 
 CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda z: ascii(z)::BIGINT)), lambda c, z: list_reduce(list_concat([xor(c, z)], [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)), 4294967295::BIGINT)"
