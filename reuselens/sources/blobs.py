@@ -9,17 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_IMAGE = "h int, w int, data binary"
-
+from .decoders import any_pixels
 
-def portable_pixels(content: bytes) -> np.ndarray | None:
-    """A binary pixmap (P6, 8 bits) as an array of height, width and three channels; None for anything else."""
-    parts = content[:64].split(None, 4)
-    if len(parts) < 5 or parts[0] != b"P6" or parts[3] != b"255":
-        return None
-    w, h = int(parts[1]), int(parts[2])
-    data = content[len(content) - 3 * w * h :]
-    return np.frombuffer(data, np.uint8).reshape(h, w, 3) if len(data) == 3 * w * h else None
+_IMAGE = "h int, w int, data binary"
 
 
 def shrunk(image: np.ndarray, longest: int | None) -> np.ndarray:
@@ -31,7 +23,7 @@ def shrunk(image: np.ndarray, longest: int | None) -> np.ndarray:
     return image[np.arange(rows) * h // rows][:, np.arange(columns) * w // columns]
 
 
-def decoded_images(files: DataFrame, decode: Callable[[bytes], np.ndarray | None] = portable_pixels, longest: int | None = None) -> DataFrame:
+def decoded_images(files: DataFrame, decode: Callable[[bytes], np.ndarray | None] = any_pixels, longest: int | None = None) -> DataFrame:
     """``files (.., content)`` with ``h``, ``w`` and ``data`` (RGB bytes) in place of ``content``; nulls where it can't be decoded."""
     keep = [c for c in files.columns if c != "content"]
 
@@ -49,7 +41,7 @@ def decoded_images(files: DataFrame, decode: Callable[[bytes], np.ndarray | None
     return files.select(*keep, "content").mapInPandas(run, schema)
 
 
-def read_images(spark: SparkSession, folder: str, pattern: str = "*", decode: Callable[[bytes], np.ndarray | None] = portable_pixels, longest: int | None = None) -> DataFrame:
+def read_images(spark: SparkSession, folder: str, pattern: str = "*", decode: Callable[[bytes], np.ndarray | None] = any_pixels, longest: int | None = None) -> DataFrame:
     """``(url, h, w, data)`` of the files of a folder."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return decoded_images(files.select(F.col("path").alias("url"), "content"), decode, longest)
