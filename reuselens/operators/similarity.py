@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,27 +17,61 @@ from ..plans.ordering import global_index
 from .graph import connected_components
 
 BLOCK = 4096
+#: Regions that rows are dealt to at most; what the driver holds of them is their pivots and four numbers each.
+_REGIONS = 1024
+#: Bounds are widened by this much for the rounding of angles and products.
+_SLACK = 1e-6
+
+
+def _in_regions(rows: DataFrame, count: int) -> tuple[DataFrame, np.ndarray]:
+    """``rows (id, v)`` with ``region``, that of the nearest of ``count`` pivots by angle, and ``angle`` and ``norm``; and the pivots.
+
+    Pivots are the rows of the smallest hashes of their ids, at most ``_REGIONS``.
+    """
+    found = rows.orderBy(F.xxhash64("id"), "id").select("v").limit(count).collect()
+    pivots = np.array([r["v"] for r in found], np.float64)
+    length = np.linalg.norm(pivots, axis=1, keepdims=True)
+    pivots = np.divide(pivots, length, out=np.zeros_like(pivots), where=length > 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            v = b.column("v").flatten().to_numpy().astype(np.float64).reshape(b.num_rows, -1)
+            norm = np.linalg.norm(v, axis=1)
+            cosines = np.divide(v @ pivots.T, norm[:, None], out=np.zeros((len(v), len(pivots))), where=norm[:, None] > 0)
+            region = cosines.argmax(axis=1)
+            angle = np.arccos(np.clip(cosines[np.arange(len(v)), region], -1, 1))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(region.astype(np.int32)), pa.array(angle), pa.array(norm)], names=["id", "v", "region", "angle", "norm"])
+
+    return materialize(rows.select("id", "v").mapInArrow(run, "id long, v array<float>, region int, angle double, norm double"), "knn-regions"), pivots
+
+
+def _bounds(pivots: np.ndarray, reach: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For each pair of regions what no inner product between them is above: angles obey the triangle inequality."""
+    apart = np.arccos(np.clip(pivots @ pivots.T, -1, 1)) - reach[:, None] - reach[None]
+    cosine = np.cos(np.clip(apart, 0, np.pi))
+    return np.where(cosine >= 0, cosine * np.outer(high, high), cosine * np.outer(low, low)) + _SLACK * np.outer(high, high)
 
 
 def knn_exact(df: DataFrame, k: int = 10, id_col: str = "row_idx", vector: str = "embedding", least: float | None = None, block: int = BLOCK) -> DataFrame:
     """``(src, dst, score)``: the exact ``k`` largest inner products of each row, itself aside.
 
-    Rows are dealt into blocks of about ``block`` rows by a hash of their id,
-    and each pair of blocks is one group: a matrix product of bounded size that
-    keeps ``k`` candidates a row for both of its sides. A last ranking keeps
-    ``k`` of those. Vectors are taken as they are; those that are null, empty or
-    of another dimension than that of the smallest id fall out. Ties go to the
-    smaller id.
+    Rows are dealt to regions around pivots, and large regions into blocks of
+    about ``block`` rows. Each block first meets itself, which gives every
+    region a floor: the least k-th score of its rows, ``least`` at least. Two
+    regions whose angles don't allow a score of the lower of their floors are
+    never joined; of the others each pair of blocks is one group, a matrix
+    product of bounded size that keeps ``k`` candidates a row for both sides. A
+    last ranking keeps ``k`` of those. Vectors are taken as they are; those that
+    are null, empty or of another dimension than that of the smallest id fall
+    out. Ties go to the smaller id. The result's ``block_pairs`` says how many
+    pairs of blocks were joined, and out of how many.
     """
     own = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v")).where(F.size("v") > 0)
     own = materialize(own, "knn-rows")
     total, size = own.agg(F.count("*"), F.min_by(F.size("v"), "id")).first()
     own = own.where(F.size("v") == F.lit(size))
-    n = max(1, math.ceil(total / block))
-    placed = own.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    others = F.sequence(F.lit(0), F.lit(n - 1))
-    dealt = placed.select("id", "v", "b", F.explode(others).alias("o")).select("id", "v", "b", F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"))
-
     floor = -np.inf if least is None else least
 
     def best(scores: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> pd.DataFrame:
@@ -63,9 +98,39 @@ def knn_exact(df: DataFrame, k: int = 10, id_col: str = "row_idx", vector: str =
             out.append(best(scores, mine[s : s + 512], theirs))
         return pd.concat(out)
 
-    found = dealt.groupBy("p", "q").applyInPandas(product, "src long, dst long, score double")
+    schema = "src long, dst long, score double"
+    if total <= block:
+        found = own.select("id", "v", *[F.lit(0).alias(c) for c in ("b", "p", "q")]).groupBy("p", "q").applyInPandas(product, schema)
+        pairs = (1, 1)
+    else:
+        rows, pivots = _in_regions(own, min(_REGIONS, 4 * math.ceil(total / block)))
+        of = {r["region"]: r for r in rows.groupBy("region").agg(F.count("*").alias("n"), F.max("angle").alias("reach"), F.min("norm").alias("low"), F.max("norm").alias("high")).collect()}  # a row a region
+        regions = sorted(of)
+        parts = {r: math.ceil(of[r]["n"] / block) for r in regions}
+        known = df.sparkSession.createDataFrame([(r, parts[r]) for r in regions], "region int, parts int")
+        cut = rows.join(F.broadcast(known), "region").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+        number = lambda r, part: (r * F.lit(total // block + 2) + part).cast("long")  # noqa: E731  no region has more parts
+        placed = materialize(cut.select("id", "v", "region", number(F.col("region").cast("long"), F.col("part")).alias("b")), "knn-blocks", consumed=(rows,))
+        inside = materialize(placed.withColumns({"p": F.col("b"), "q": F.col("b")}).groupBy("p", "q").applyInPandas(product, schema), "knn-inside")
+
+        kth = inside.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n"), F.min("score").alias("s"))
+        full = kth.where(F.col("n") >= k).join(placed.select("id", "region"), "id").groupBy("region").agg(F.count("*").alias("n"), F.min("s").alias("s"))
+        floors = {r["region"]: r["s"] for r in full.collect() if r["n"] == of[r["region"]]["n"]}  # a row a region
+        column = lambda c: np.array([of[r][c] for r in regions])
+        lowest = np.maximum([floors.get(r, -np.inf) for r in regions], floor)
+        joined = _bounds(pivots[regions], column("reach"), column("low"), column("high")) >= np.minimum.outer(lowest, lowest)
+        partners = df.sparkSession.createDataFrame([(r, [(o, parts[o]) for o, yes in zip(regions, joined[x] | (np.array(regions) == r)) if yes]) for x, r in enumerate(regions)], "region int, others array<struct<o:int,n:int>>")
+        met = placed.join(F.broadcast(partners), "region").select("id", "v", "b", F.explode("others").alias("other"))
+        met = met.select("id", "v", "b", "other.o", F.explode(F.sequence(F.lit(0), F.col("other.n") - 1)).alias("part")).withColumn("o", number(F.col("o").cast("long"), F.col("part")))
+        dealt = met.where("b <> o").select("id", "v", "b", F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"))
+        found = inside.unionByName(dealt.groupBy("p", "q").applyInPandas(product, schema))
+        blocks = np.array([parts[r] for r in regions])
+        grid = np.outer(blocks, blocks)
+        pairs = (int((np.where(joined | np.eye(len(blocks), dtype=bool), grid, 0).sum() + blocks.sum()) // 2), int(blocks.sum() * (blocks.sum() + 1) // 2))
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("score"), "dst"))
-    return found.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
+    out = found.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
+    out.block_pairs = pairs
+    return out
 
 
 def candidate_edges(neighbours: DataFrame, least: float) -> DataFrame:
