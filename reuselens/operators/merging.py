@@ -61,20 +61,10 @@ def known_in_library(candidates: DataFrame, library: DataFrame, least: float = 0
     return out.select(F.col("src").alias(id_col), "top_score", (F.col("top_score") >= least).alias("duplicate"), F.coalesce("similar", F.array().cast("array<long>")).alias("similar"))
 
 
-def cluster_pairs(rows: DataFrame, least: float, k: int = 50, vector: str = "embedding") -> DataFrame:
-    """``(a, b, score)``: pairs of clusters (a < b) whose centroids of unit length have a cosine of ``least`` or more.
-
-    A centroid looks at its ``k`` nearest; where all of these are near enough
-    the search goes on with twice as many, so that no pair is cut off.
-    """
+def cluster_pairs(rows: DataFrame, least: float, vector: str = "embedding") -> DataFrame:
+    """``(a, b, score)``: pairs of clusters (a < b) whose centroids of unit length have a cosine of ``least`` or more."""
     means = materialize(centroids(rows.where("cluster_id >= 0").where(F.size(vector) > 0), "cluster_id", vector, normalised=True).select(F.col("cluster_id").cast("long").alias("row_idx"), F.col("centroid").alias("embedding")), "centroids")
-    while True:
-        near = materialize(knn_exact(means, k, least=least), "cluster-pairs")
-        full = near.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") >= k).limit(1).count()
-        if not full:
-            break
-        k *= 2
-    return candidate_edges(near, least).select(F.col("src").alias("a"), F.col("dst").alias("b"), "score")
+    return candidate_edges(knn_exact(means, None, least=least), least).select(F.col("src").alias("a"), F.col("dst").alias("b"), "score")
 
 
 def best_member_pairs(rows: DataFrame, pairs: DataFrame, least: float, id_col: str = "row_idx", vector: str = "embedding", part: int = 512) -> DataFrame:

@@ -54,7 +54,7 @@ def _bounds(pivots: np.ndarray, reach: np.ndarray, low: np.ndarray, high: np.nda
     return np.where(cosine >= 0, cosine * np.outer(high, high), cosine * np.outer(low, low)) + _SLACK * np.outer(high, high)
 
 
-def knn_exact(df: DataFrame, k: int = 10, id_col: str = "row_idx", vector: str = "embedding", least: float | None = None, block: int = BLOCK) -> DataFrame:
+def knn_exact(df: DataFrame, k: int | None = 10, id_col: str = "row_idx", vector: str = "embedding", least: float | None = None, block: int = BLOCK) -> DataFrame:
     """``(src, dst, score)``: the exact ``k`` largest inner products of each row, itself aside.
 
     Rows are dealt to regions around pivots, and large regions into blocks of
@@ -66,8 +66,11 @@ def knn_exact(df: DataFrame, k: int = 10, id_col: str = "row_idx", vector: str =
     last ranking keeps ``k`` of those. Vectors are taken as they are; those that
     are null, empty or of another dimension than that of the smallest id fall
     out. Ties go to the smaller id. The result's ``block_pairs`` says how many
-    pairs of blocks were joined, and out of how many.
+    pairs of blocks were joined, and out of how many. Without ``k`` all products
+    of ``least`` or more are given, unranked.
     """
+    if k is None and least is None:
+        raise ValueError("either k or least has to be given")
     own = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v")).where(F.size("v") > 0)
     own = materialize(own, "knn-rows")
     total, size = own.agg(F.count("*"), F.min_by(F.size("v"), "id")).first()
@@ -76,6 +79,9 @@ def knn_exact(df: DataFrame, k: int = 10, id_col: str = "row_idx", vector: str =
 
     def best(scores: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> pd.DataFrame:
         """The k largest of each row; columns are in order of id."""
+        if k is None:
+            i, j = np.nonzero((scores >= floor) & np.isfinite(scores))
+            return pd.DataFrame({"src": mine[i], "dst": theirs[j], "score": scores[i, j]})
         top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
         got = np.take_along_axis(scores, top, axis=1)
         i, j = np.nonzero((got >= floor) & np.isfinite(got))
@@ -114,7 +120,7 @@ def knn_exact(df: DataFrame, k: int = 10, id_col: str = "row_idx", vector: str =
         inside = materialize(placed.withColumns({"p": F.col("b"), "q": F.col("b")}).groupBy("p", "q").applyInPandas(product, schema), "knn-inside")
 
         kth = inside.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n"), F.min("score").alias("s"))
-        full = kth.where(F.col("n") >= k).join(placed.select("id", "region"), "id").groupBy("region").agg(F.count("*").alias("n"), F.min("s").alias("s"))
+        full = kth.where(F.lit(k is not None) & (F.col("n") >= F.lit(k or 0))).join(placed.select("id", "region"), "id").groupBy("region").agg(F.count("*").alias("n"), F.min("s").alias("s"))
         floors = {r["region"]: r["s"] for r in full.collect() if r["n"] == of[r["region"]]["n"]}  # a row a region
         column = lambda c: np.array([of[r][c] for r in regions])
         lowest = np.maximum([floors.get(r, -np.inf) for r in regions], floor)
@@ -128,7 +134,7 @@ def knn_exact(df: DataFrame, k: int = 10, id_col: str = "row_idx", vector: str =
         grid = np.outer(blocks, blocks)
         pairs = (int((np.where(joined | np.eye(len(blocks), dtype=bool), grid, 0).sum() + blocks.sum()) // 2), int(blocks.sum() * (blocks.sum() + 1) // 2))
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("score"), "dst"))
-    out = found.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
+    out = found if k is None else found.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
     out.block_pairs = pairs
     return out
 

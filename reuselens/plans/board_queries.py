@@ -370,14 +370,14 @@ cent AS (SELECT cluster_id, list(x ORDER BY i) AS c FROM m GROUP BY 1), cp AS (S
 @query(f"WITH RECURSIVE {MEANS} SELECT a, b, round(score, 4) AS score FROM cp")
 def cluster_pair_join(spark, sf_dir):
     rows = materialize(C.cluster_threshold(_vectors(spark, sf_dir), 0.4, 10), "labelled")
-    return M.cluster_pairs(rows, 0.3, k=5).select("a", "b", F.round("score", 4).alias("score"))
+    return M.cluster_pairs(rows, 0.3).select("a", "b", F.round("score", 4).alias("score"))
 
 
 @query(f"""WITH RECURSIVE {MEANS}, l AS (SELECT labels.cluster_id AS c, v.id, e FROM labels JOIN v ON v.id = labels.row_idx WHERE cluster_id >= 0), x AS (SELECT a, b, p.id AS src, q.id AS dst, list_cosine_similarity(p.e, q.e) AS score FROM cp JOIN l p ON p.c = a JOIN l q ON q.c = b)
 SELECT a, b, src, dst, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY score DESC, src, dst) AS r FROM x) WHERE r = 1 AND score >= 0.3""")
 def cluster_member_pairs(spark, sf_dir):
     rows = materialize(C.cluster_threshold(_vectors(spark, sf_dir), 0.4, 10), "labelled")
-    return M.best_member_pairs(rows, M.cluster_pairs(rows, 0.3, k=5), 0.3, part=64).select("a", "b", "src", "dst", F.round("score", 4).alias("score"))
+    return M.best_member_pairs(rows, M.cluster_pairs(rows, 0.3), 0.3, part=64).select("a", "b", "src", "dst", F.round("score", 4).alias("score"))
 
 
 def _images(vectors: DataFrame, labels: DataFrame) -> DataFrame:
