@@ -339,10 +339,14 @@ def _similar_texts(docs: DataFrame, id_col: str, text_col: str, shingle: int, si
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole.alias("text"), *digests, F.xxhash64(*plain).alias("h"))
     keyed = materialize(own.select("doc_id", "k1", "k2", "h"), "similar-keys")
     # every text has a number of its own; the row with the least id and digest carries it
-    firsts = keyed.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h")).alias("one"))
-    firsts = materialize(firsts.select("k1", "k2", F.monotonically_increasing_id().alias("rep"), F.col("one.doc_id").alias("doc_id"), F.col("one.h").alias("h")), "similar-firsts")
+    counted = keyed.groupBy("k1", "k2", "doc_id", "h").agg(F.count("*").alias("equal"))
+    firsts = counted.groupBy("k1", "k2").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h", "equal")).alias("one"))
+    firsts = materialize(firsts.select("k1", "k2", F.monotonically_increasing_id().alias("rep"), F.col("one.doc_id").alias("doc_id"), F.col("one.h").alias("h"), F.col("one.equal").alias("equal")), "similar-firsts")
     same = [own["k1"] == firsts["k1"], own["k2"] == firsts["k2"], own["h"] == firsts["h"], own["doc_id"].eqNullSafe(firsts["doc_id"])]
-    texts = materialize(own.join(firsts, same).select("rep", "text"), "similar-texts")
+    held = own.join(firsts.where("equal = 1"), same).select("rep", "text")
+    if firsts.where("equal > 1").limit(1).count():  # of rows equal in all columns one carries the text
+        held = held.unionByName(own.join(firsts.where("equal > 1"), same).select("rep", "text").dropDuplicates(["rep"]))
+    texts = materialize(held, "similar-texts")
     sketches = materialize(texts.select("rep", "text").mapInArrow(_banded(shingle), "rep long, bands array<long>, sketch binary"), "similar-sketches")
     rows = sketches.select(F.explode("bands").alias("band"), "rep")
     met = rows.groupBy("band").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("band")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_operators import A, B, OPERATORS, _prose
 
 import corpus_pipeline
-from reuselens.llm import sharding
+from reuselens.llm import sharding, simhash
 
 CLASH = (
     "v place sides y y_place y_sides rank open company k1 k2 h band rep component digest whole lines bin group offset bins bound anchor hi lo spans ids media pixels fp shard bytes row base slots names"
@@ -65,3 +65,13 @@ def test_stages_on_hard_rows(spark, hard, stage):
     if name == "pii":
         assert len(rows) == len(ROWS) and not any("192.168.0.1" in (r.text or "") for r in rows)
     assert run(spark, hard.where("false"), None).count() == 0
+
+
+def test_many_equal_rows_on_both_sides_of_a_pair(spark):
+    near = B.split()
+    near[100] = "other"
+    rows = [(4, A)] + [(1, B)] * 1000 + [(2, " ".join(near))] * 1000 + [(None, B)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    groups = Counter((r.doc_id, r.group_id) for r in simhash.similar_documents(docs).collect())
+    assert groups == {(4, 4): 1, (1, 1): 1000, (2, 1): 1000, (None, 1): 50}
+    assert Counter((r.doc_id, r.text) for r in simhash.without_near_copies(docs).collect()) == {(4, A): 1, (1, B): 1}
