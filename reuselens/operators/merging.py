@@ -20,12 +20,15 @@ Align = Callable[[np.ndarray, np.ndarray], np.ndarray | None]
 _SIDE, _BACKGROUND, _CHANGED = 32, 0.6, 0.2
 
 
-def near_between(queries: DataFrame, library: DataFrame, k: int, id_col: str = "row_idx", vector: str = "embedding", least: float | None = None, block: int = BLOCK) -> DataFrame:
+def near_between(queries: DataFrame, library: DataFrame, k: int | None, id_col: str = "row_idx", vector: str = "embedding", least: float | None = None, block: int = BLOCK) -> DataFrame:
     """``(src, dst, score)``: the ``k`` largest inner products of each query with the library's rows.
 
     Both sides are dealt into blocks; a group is one block of either side, a
-    product of bounded size. Ties go to the smaller ``dst``.
+    product of bounded size. Ties go to the smaller ``dst``. Without ``k`` all
+    products of ``least`` or more are given, unranked.
     """
+    if k is None and least is None:
+        raise ValueError("either k or least has to be given")
     own = lambda df, n, other, mine, theirs: df.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias(mine), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(theirs)).where(F.size("v") > 0)
     n, m = (max(1, math.ceil(df.count() / block)) for df in (queries, library))
     a, b = own(queries, n, m, "p", "q"), own(library, m, n, "q", "p")
@@ -42,6 +45,10 @@ def near_between(queries: DataFrame, library: DataFrame, k: int, id_col: str = "
         for at in range(0, len(x), 512):
             part = x.iloc[at : at + 512]
             scores = np.stack(part["v"].to_numpy()) @ right.T
+            if k is None:
+                i, j = np.nonzero(scores >= least)
+                out.append(pd.DataFrame({"src": part["id"].to_numpy()[i], "dst": theirs[j], "score": scores[i, j]}))
+                continue
             top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
             got = np.take_along_axis(scores, top, axis=1)
             i, j = np.nonzero(got >= (-np.inf if least is None else least))
@@ -49,6 +56,8 @@ def near_between(queries: DataFrame, library: DataFrame, k: int, id_col: str = "
         return pd.concat(out)
 
     found = a.groupBy("p", "q").cogroup(b.groupBy("p", "q")).applyInPandas(product, "src long, dst long, score double")
+    if k is None:
+        return found
     rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("score"), "dst"))
     return found.withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
 

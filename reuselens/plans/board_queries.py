@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,11 @@ from ..operators import reports as R
 from ..operators import review as W
 from ..operators import sampling as P
 from ..operators import similarity as C
+from ..operators.windows import WindowClusters
 from ..sources import tables
 from . import fixtures as X
 from .catalogue import ANN, BAD3, ORACLE_SQL, CHECKED, EXPAND_B, LABELS, PER_USER, REG, SCOPE, SOURCES, SPLIT, _cluster_annotations, _inputs, _registered, _vectors, cert_method, parse_embedding, query, violation_dist
-from .materialize import materialize
+from .materialize import materialize, new_path
 from .ordering import global_index
 
 # -- distributions and shares
@@ -418,6 +421,25 @@ def cluster_pixel_aligned(spark, sf_dir):
     return M.cluster_pixels(_vectors(spark, sf_dir), images, near=0.4, k=10, merge=None, align=orb_align(300)).select("row_idx", "cluster_id")
 
 
+@query("""WITH RECURSIVE v AS (SELECT vec_id AS id, vec_id % 8 AS d, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), w AS (SELECT unnest(range(6, 8)) AS day),
+p AS (SELECT a.id AS src, b.id AS dst, a.d AS ad, b.d AS bd, list_cosine_similarity(a.e, b.e) AS score FROM v a JOIN v b ON a.id <> b.id WHERE list_cosine_similarity(a.e, b.e) >= 0.4),
+k AS (SELECT * FROM (SELECT day, src, dst, row_number() OVER (PARTITION BY day, src ORDER BY score DESC, dst) AS r FROM p JOIN w ON ad BETWEEN day - 6 AND day AND bd BETWEEN day - 6 AND day) WHERE r <= 10),
+b AS (SELECT day, src AS x, dst AS y FROM k UNION SELECT day, dst, src FROM k), reach(day, x, y) AS (SELECT day, x, x FROM b UNION SELECT reach.day, reach.x, b.y FROM reach JOIN b ON reach.day = b.day AND reach.y = b.x),
+comp AS (SELECT day, x, min(y) AS c FROM reach GROUP BY day, x), sz AS (SELECT day, c, row_number() OVER (PARTITION BY day ORDER BY count(*) DESC, c) - 1 AS cid FROM comp GROUP BY day, c)
+SELECT CAST(DATE '2026-03-01' + CAST(w.day AS INTEGER) AS DATE) AS day, v.id AS row_idx, CASE WHEN v.d = w.day THEN 'target_day' ELSE 'history_7d' END AS source_window, CAST(coalesce(cid, -1) AS INTEGER) AS cluster_id
+FROM w JOIN v ON v.d BETWEEN w.day - 6 AND w.day LEFT JOIN comp ON comp.day = w.day AND comp.x = v.id LEFT JOIN sz ON sz.day = comp.day AND sz.c = comp.c""")
+def window_clusters(spark, sf_dir):
+    v = _vectors(spark, sf_dir)
+    days = [date(2026, 3, 1) + timedelta(k) for k in range(8)]
+    store = WindowClusters(spark, new_path(spark, "windows"), least=0.4)
+    found = []
+    for k, day in enumerate(days):
+        store.add_day(v.where(F.col("row_idx") % 8 == k), day)
+        if k >= 6:  # whole weeks; the second one has lost a day and won one
+            found.append(materialize(store.labels(day).select(F.lit(day).alias("day"), "row_idx", "source_window", "cluster_id"), "window-labels"))
+    return found[0].unionByName(found[1])
+
+
 # -- samples and vectors, again in SQL
 
 CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda z: ascii(z)::BIGINT)), lambda c, z: list_reduce(list_concat([xor(c, z)], [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)), 4294967295::BIGINT)"
