@@ -20,6 +20,7 @@ from ..operators import sampling as P
 from ..operators import similarity as C
 from ..operators.windows import WindowClusters
 from ..sources import tables
+from ..sources.keyed import KeyedTable
 from . import fixtures as X
 from .catalogue import ANN, BAD3, ORACLE_SQL, CHECKED, EXPAND_B, LABELS, PER_USER, REG, SCOPE, SOURCES, SPLIT, _cluster_annotations, _inputs, _registered, _vectors, cert_method, parse_embedding, query, violation_dist
 from .materialize import materialize, new_path
@@ -440,6 +441,21 @@ def window_clusters(spark, sf_dir):
     return found[0].unionByName(found[1])
 
 
+@query(f"""WITH {X.SETTLEMENT_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY user_id, apply_id % 5 ORDER BY apply_id DESC) AS r, count(*) OVER (PARTITION BY user_id, apply_id % 5) AS c FROM fx_settlement),
+u AS (SELECT DISTINCT user_id FROM fx_settlement), b AS (SELECT u.user_id, p0.apply_id AS a0, p1.apply_id AS a1, p2.apply_id AS a2, p3.apply_id AS a3, p4.apply_id AS a4, coalesce(p3.c % 2 = 1, false) AS odd
+  FROM u LEFT JOIN n p0 ON p0.user_id = u.user_id AND p0.apply_id % 5 = 0 AND p0.r = 1 LEFT JOIN n p1 ON p1.user_id = u.user_id AND p1.apply_id % 5 = 1 AND p1.r = 1 LEFT JOIN n p2 ON p2.user_id = u.user_id AND p2.apply_id % 5 = 2 AND p2.r = 1
+  LEFT JOIN n p3 ON p3.user_id = u.user_id AND p3.apply_id % 5 = 3 AND p3.r = 1 LEFT JOIN n p4 ON p4.user_id = u.user_id AND p4.apply_id % 5 = 4 AND p4.r = 1),
+s1 AS (SELECT *, coalesce(a2, a0, a1) AS x FROM b), s2 AS (SELECT *, CASE WHEN odd AND x IS NULL THEN a3 WHEN odd THEN NULL ELSE x END AS y FROM s1), z AS (SELECT user_id, CASE WHEN a4 IS NULL THEN y END AS apply_id FROM s2)
+SELECT user_id, apply_id, apply_source, pro_settle_date FROM z JOIN fx_settlement USING (user_id, apply_id)""")
+def stored_upserts(spark, sf_dir):
+    """Registrations by account: put, added, put over, toggled, dropped, each a commit; compaction comes in between."""
+    s = X.settlement(spark, sf_dir).select("user_id", "apply_id", "apply_source", "pro_settle_date")
+    table = KeyedTable(spark, new_path(spark, "keyed"), s.schema, ["user_id"], compact_after=3)
+    for k, operation in enumerate(("put", "add", "put", "toggle", "drop")):
+        table.apply(s.where(F.col("apply_id") % 5 == k), operation, order="apply_id")
+    return table.read()
+
+
 # -- samples and vectors, again in SQL
 
 CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda z: ascii(z)::BIGINT)), lambda c, z: list_reduce(list_concat([xor(c, z)], [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)), 4294967295::BIGINT)"
