@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.ordering import global_index
+from .workbooks import read_sheet
 
 BOM = "﻿"
 
@@ -26,7 +27,7 @@ def is_utf8(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table by the suffix of its path: csv, txt, tsv (UTF-8, or else GBK), parquet, json or orc.
+    """A table by the suffix of its path: csv, txt, tsv (UTF-8, or else GBK), xlsx, xlsm (the first sheet with rows), parquet, json or orc.
 
     Reading GBK turns the session's setting for Java's character sets on.
     """
@@ -36,6 +37,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         if encoding == "GBK":
             spark.conf.set("spark.sql.legacy.javaCharsets", "true")
         return read_delimited(spark, path, "\t" if suffix == "tsv" else ",", encoding)
+    if suffix in ("xlsx", "xlsm"):
+        return read_sheet(spark, path)
     if suffix in ("parquet", "json", "orc"):
         return getattr(spark.read, suffix)(path)
     raise ValueError(f"no reader for .{suffix}")
