@@ -18,6 +18,7 @@ from ..operators import reports as R
 from ..operators import review as W
 from ..operators import sampling as P
 from ..operators import similarity as C
+from ..operators.search import search_indexed, write_search_index
 from ..operators.windows import WindowClusters
 from ..sources import tables
 from ..sources.keyed import KeyedTable
@@ -456,6 +457,13 @@ def stored_upserts(spark, sf_dir):
     return table.read()
 
 
+@query(f"WITH {X.CLUSTER_SQL}, h AS (SELECT cluster_id FROM fx_cluster WHERE cluster_id <> -1 AND user_id ILIKE '%u1%') SELECT DISTINCT cluster_id, (SELECT count(*) FROM h) AS total FROM h ORDER BY cluster_id LIMIT 500")
+def search_uid_indexed(spark, sf_dir):
+    path = new_path(spark, "search")
+    write_search_index(X.clusters(spark, sf_dir), path, buckets=16)
+    return search_indexed(spark, path, "U1", buckets=16)
+
+
 # -- samples and vectors, again in SQL
 
 CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda z: ascii(z)::BIGINT)), lambda c, z: list_reduce(list_concat([xor(c, z)], [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)), 4294967295::BIGINT)"
