@@ -169,7 +169,7 @@ def cluster_kmeans(df: DataFrame, k: int = 500, iterations: int = 30, seeds: tup
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    rows = df.where(F.size(vector) > 0).withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
+    rows = materialize(df.where(F.size(vector) > 0), "kmeans-rows").withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
     fits = [KMeans(k=k, maxIter=iterations, seed=s, distanceMeasure="cosine", featuresCol="_features", predictionCol="cluster_id").fit(rows) for s in seeds]
     return min(fits, key=lambda m: m.summary.trainingCost).transform(rows).drop("_features")
 

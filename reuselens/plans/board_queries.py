@@ -330,18 +330,8 @@ accounts AS (SELECT user_id, bool_or(cluster_id >= 0) AS c, user_id IN (SELECT u
 sums AS (SELECT count(*) FILTER (p) AS ann, count(*) FILTER (v) AS cfm FROM accounts)"""
 
 
-@query(f"""WITH {WEEKLY}, l AS (SELECT count(DISTINCT image_label) AS labels, count(remark_first) AS remarks FROM result WHERE cluster_id <> -1), e AS (SELECT count(DISTINCT user_id) AS everyone, count(DISTINCT user_id) FILTER (cluster_id <> -1) AS inside FROM expanded),
-c AS (SELECT first_trade_name, apply_source, count(*) AS r FROM fx_settlement GROUP BY 1, 2)
-SELECT 'C1_labelled_by_hand' AS code, CASE WHEN labels <= 1 OR remarks = 0 THEN 'FAIL' ELSE 'PASS' END AS level, CAST(labels AS DOUBLE) AS detail FROM l
-UNION ALL SELECT 'C2_pool_is_result', CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(n AS DOUBLE) FROM (SELECT abs((SELECT count(*) FROM expanded) - (SELECT count(*) FROM result)) + (SELECT count(DISTINCT user_id) FROM expanded WHERE user_id NOT IN (SELECT user_id FROM result)) AS n)
-UNION ALL SELECT 'C3_recomputed', CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) AS DOUBLE) FROM again LEFT JOIN checked USING (sample_group) WHERE coalesce(abs(checked.concentration - again.c) > 1e-4, true)
-UNION ALL SELECT concat('C4_', t, '_total'), CASE WHEN got <> want THEN 'FAIL' ELSE 'PASS' END, CAST(abs(got - want) AS DOUBLE) FROM (SELECT t, CASE WHEN t LIKE 'sample%' THEN (SELECT sum(sampled) FROM s2) ELSE (SELECT sum(violated) FROM s2) END AS got, CASE WHEN t LIKE 'sample%' THEN (SELECT d FROM again WHERE sample_group = 'overall') ELSE (SELECT n FROM again WHERE sample_group = 'overall') END AS want FROM (VALUES ('sample'), ('violation'), ('sample_l2'), ('violation_l2')) x(t))
-UNION ALL SELECT concat('C5_', t, '_subset'), CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(n AS DOUBLE) FROM (SELECT 'baseline' AS t, (SELECT count(*) FROM (SELECT i1 FROM accounts JOIN ind USING (user_id) GROUP BY i1 HAVING count(*) FILTER (p) > count(*) FILTER (c))) AS n UNION ALL SELECT 'baseline_l2', (SELECT count(*) FROM (SELECT i1, i2 FROM accounts JOIN ind USING (user_id) GROUP BY i1, i2 HAVING count(*) FILTER (p) > count(*) FILTER (c))))
-UNION ALL SELECT 'C6_annotated_in_clusters', CASE WHEN everyone > inside AND ann = everyone THEN 'FAIL' WHEN ann <> inside THEN 'WARN' ELSE 'PASS' END, CAST(abs(ann - inside) AS DOUBLE) FROM e, sums
-UNION ALL SELECT 'C7_accuracy_drift', CASE WHEN coalesce(abs(cfm / ann - 1 / 4) > 0.1, true) THEN 'WARN' ELSE 'PASS' END, round(abs(cfm / ann - 1 / 4), 4) FROM sums
-UNION ALL SELECT 'C8a_no_ghost_rows', CASE WHEN count(*) FILTER (r = 0) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) FILTER (r = 0) AS DOUBLE) FROM c
-UNION ALL SELECT 'C8b_numerator_within', CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) AS DOUBLE) FROM (SELECT first_trade_name FROM c GROUP BY 1 HAVING sum(r + 1) > sum(r))""")
-def weekly_checks(spark, sf_dir):
+def _week(spark: SparkSession, sf_dir: str) -> dict:
+    """What the checks of a week take."""
     rows, annotated, samples = _inputs(spark, sf_dir)
     pool = materialize(P.expand_clusters(rows, samples), "pool")
     result = pool.join(annotated.select("row_idx", "remark_first"), "row_idx").withColumn("image_label", N.image_label(F.col("remark_first"), F.lit(None).cast("string")))
@@ -354,7 +344,44 @@ def weekly_checks(spark, sf_dir):
     cert = X.settlement(spark, sf_dir).groupBy(F.col("first_trade_name").alias("industry"), "apply_source").agg(F.count("*").alias("registered"), (F.count("*") + 1).alias("confirmed"))
     board = {"metrics": R.concentration_checked(samples, rows, annotated), "sample": level1, "violation": level1, "sample_l2": level2, "violation_l2": level2, "baseline": base[0], "baseline_l2": base[1], "cert": cert}
     before = spark.range(1).select(F.lit(4).alias("annotated"), F.lit(1).alias("confirmed"))
-    return K.weekly_checks(samples, rows, result, pool, board, before)
+    return {"samples": samples, "rows": rows, "annotated": result, "pool": pool, "board": board, "previous": before}
+
+
+@query(f"""WITH {WEEKLY}, l AS (SELECT count(DISTINCT image_label) AS labels, count(remark_first) AS remarks FROM result WHERE cluster_id <> -1), e AS (SELECT count(DISTINCT user_id) AS everyone, count(DISTINCT user_id) FILTER (cluster_id <> -1) AS inside FROM expanded),
+c AS (SELECT first_trade_name, apply_source, count(*) AS r FROM fx_settlement GROUP BY 1, 2)
+SELECT 'C1_labelled_by_hand' AS code, CASE WHEN labels <= 1 OR remarks = 0 THEN 'FAIL' ELSE 'PASS' END AS level, CAST(labels AS DOUBLE) AS detail FROM l
+UNION ALL SELECT 'C2_pool_is_result', CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(n AS DOUBLE) FROM (SELECT abs((SELECT count(*) FROM expanded) - (SELECT count(*) FROM result)) + (SELECT count(DISTINCT user_id) FROM expanded WHERE user_id NOT IN (SELECT user_id FROM result)) AS n)
+UNION ALL SELECT 'C3_recomputed', CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) AS DOUBLE) FROM again LEFT JOIN checked USING (sample_group) WHERE coalesce(abs(checked.concentration - again.c) > 1e-4, true)
+UNION ALL SELECT concat('C4_', t, '_total'), CASE WHEN got <> want THEN 'FAIL' ELSE 'PASS' END, CAST(abs(got - want) AS DOUBLE) FROM (SELECT t, CASE WHEN t LIKE 'sample%' THEN (SELECT sum(sampled) FROM s2) ELSE (SELECT sum(violated) FROM s2) END AS got, CASE WHEN t LIKE 'sample%' THEN (SELECT d FROM again WHERE sample_group = 'overall') ELSE (SELECT n FROM again WHERE sample_group = 'overall') END AS want FROM (VALUES ('sample'), ('violation'), ('sample_l2'), ('violation_l2')) x(t))
+UNION ALL SELECT concat('C5_', t, '_subset'), CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(n AS DOUBLE) FROM (SELECT 'baseline' AS t, (SELECT count(*) FROM (SELECT i1 FROM accounts JOIN ind USING (user_id) GROUP BY i1 HAVING count(*) FILTER (p) > count(*) FILTER (c))) AS n UNION ALL SELECT 'baseline_l2', (SELECT count(*) FROM (SELECT i1, i2 FROM accounts JOIN ind USING (user_id) GROUP BY i1, i2 HAVING count(*) FILTER (p) > count(*) FILTER (c))))
+UNION ALL SELECT 'C6_annotated_in_clusters', CASE WHEN everyone > inside AND ann = everyone THEN 'FAIL' WHEN ann <> inside THEN 'WARN' ELSE 'PASS' END, CAST(abs(ann - inside) AS DOUBLE) FROM e, sums
+UNION ALL SELECT 'C7_accuracy_drift', CASE WHEN coalesce(abs(cfm / ann - 1 / 4) > 0.1, true) THEN 'WARN' ELSE 'PASS' END, round(abs(cfm / ann - 1 / 4), 4) FROM sums
+UNION ALL SELECT 'C8a_no_ghost_rows', CASE WHEN count(*) FILTER (r = 0) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) FILTER (r = 0) AS DOUBLE) FROM c
+UNION ALL SELECT 'C8b_numerator_within', CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) AS DOUBLE) FROM (SELECT first_trade_name FROM c GROUP BY 1 HAVING sum(r + 1) > sum(r))""")
+def weekly_checks(spark, sf_dir):
+    return K.weekly_checks(**_week(spark, sf_dir))
+
+
+@query(f"""WITH {WEEKLY}, uploaded AS (SELECT * FROM expanded WHERE user_id <> (SELECT min(user_id) FROM expanded)), l AS (SELECT count(DISTINCT image_label) AS labels, count(remark_first) AS remarks FROM result WHERE cluster_id <> -1), e AS (SELECT count(DISTINCT user_id) AS everyone, count(DISTINCT user_id) FILTER (cluster_id <> -1) AS inside FROM uploaded),
+c AS (SELECT first_trade_name, apply_source, count(*) AS r FROM fx_settlement GROUP BY 1, 2)
+SELECT 'C1_labelled_by_hand' AS code, CASE WHEN labels <= 1 OR remarks = 0 THEN 'FAIL' ELSE 'PASS' END AS level, CAST(labels AS DOUBLE) AS detail FROM l
+UNION ALL SELECT 'C2_pool_is_result', CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(n AS DOUBLE) FROM (SELECT abs((SELECT count(*) FROM uploaded) - (SELECT count(*) FROM result)) + (SELECT count(DISTINCT user_id) FROM result WHERE user_id NOT IN (SELECT user_id FROM uploaded)) AS n)
+UNION ALL SELECT 'C3_recomputed', CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) AS DOUBLE) FROM again LEFT JOIN checked USING (sample_group) WHERE coalesce(abs(checked.concentration + CASE WHEN sample_group = 'overall' THEN 0.01 ELSE 0 END - again.c) > 1e-4, true)
+UNION ALL SELECT concat('C4_', t, '_total'), CASE WHEN got <> want THEN 'FAIL' ELSE 'PASS' END, CAST(abs(got - want) AS DOUBLE) FROM (SELECT t, CASE t WHEN 'sample' THEN (SELECT sum(sampled) + 1 FROM s2) WHEN 'sample_l2' THEN (SELECT sum(sampled) FROM s2) WHEN 'violation' THEN (SELECT sum(violated) FROM s2) ELSE (SELECT sum(violated) + 3 FROM s2) END AS got, CASE WHEN t LIKE 'sample%' THEN (SELECT d FROM again WHERE sample_group = 'overall') ELSE (SELECT n FROM again WHERE sample_group = 'overall') END AS want FROM (VALUES ('sample'), ('violation'), ('sample_l2'), ('violation_l2')) x(t))
+UNION ALL SELECT concat('C5_', t, '_subset'), CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(n AS DOUBLE) FROM (SELECT 'baseline' AS t, (SELECT count(*) FROM (SELECT i1 FROM accounts JOIN ind USING (user_id) GROUP BY i1 HAVING count(*) FILTER (p) > count(*) FILTER (c))) AS n UNION ALL SELECT 'baseline_l2', (SELECT count(*) FROM (SELECT i1, i2 FROM accounts JOIN ind USING (user_id) GROUP BY i1, i2 HAVING count(*) FILTER (p) > count(*) FILTER (c))))
+UNION ALL SELECT 'C6_annotated_in_clusters', CASE WHEN everyone > inside AND ann = everyone THEN 'FAIL' WHEN ann <> inside THEN 'WARN' ELSE 'PASS' END, CAST(abs(ann - inside) AS DOUBLE) FROM e, sums
+UNION ALL SELECT 'C7_accuracy_drift', CASE WHEN coalesce(abs(cfm / ann - 1 / 4) > 0.1, true) THEN 'WARN' ELSE 'PASS' END, round(abs(cfm / ann - 1 / 4), 4) FROM sums
+UNION ALL SELECT 'C8a_no_ghost_rows', CASE WHEN count(*) FILTER (r = 0) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) FILTER (r = 0) AS DOUBLE) FROM c
+UNION ALL SELECT 'C8b_numerator_within', CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END, CAST(count(*) AS DOUBLE) FROM (SELECT first_trade_name FROM c GROUP BY 1 HAVING sum(r + 1) > sum(r))""")
+def weekly_checks_broken(spark, sf_dir):
+    """An account that was never uploaded, and three figures on the board that are not those of the week."""
+    week = _week(spark, sf_dir)
+    pool, board = week["pool"], week["board"]
+    first = pool.agg(F.min("user_id").alias("user_id"))
+    more = lambda df, column, n: df.select(column).unionByName(spark.range(1).select(F.lit(n).cast("long").alias(column)))
+    off = F.col("concentration") + F.when(F.col("sample_group") == "overall", 0.01).otherwise(0.0)
+    wrong = {"metrics": board["metrics"].withColumn("concentration", off), "sample": more(board["sample"], "count", 1), "violation_l2": more(board["violation_l2"], "violated_count", 3)}
+    return K.weekly_checks(**week | {"pool": pool.join(F.broadcast(first), "user_id", "left_anti"), "board": board | wrong})  # one row
 
 
 # -- pixels and the library of known images

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.materialize import drop_tables, materialize
+
 
 def write_snapshot(df: DataFrame, path: str, key: str = "run_id") -> None:
     """Replace the partitions of the runs that ``df`` holds, and leave the others."""
@@ -20,12 +22,10 @@ def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
 
 def write_views(df: DataFrame, views: dict[str, list[str]]) -> None:
     """The same rows written once for each path, with the columns named for it; the rows are computed once."""
-    df.persist()
-    try:
-        for path, columns in views.items():
-            df.select(*columns).write.mode("overwrite").parquet(path)
-    finally:
-        df.unpersist()
+    rows = materialize(df, "views")
+    for path, columns in views.items():
+        rows.select(*columns).write.mode("overwrite").parquet(path)
+    drop_tables(rows)
 
 
 def write_stats(df: DataFrame, path: str) -> None:
