@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -111,3 +113,10 @@ def retry_name(c: Column, suffix: str = "-retry") -> Column:
 def share(part: Column, whole: Column, digits: int = 4) -> Column:
     """``part / whole``, rounded half up; zero where there is no whole."""
     return F.coalesce(F.round(F.when(whole > 0, part / whole), digits), F.lit(0.0))
+
+
+def hmac_sha256(key: bytes, message: Column) -> Column:
+    """The keyed digest of a text or bytes, in lower-case hex; null for null."""
+    block = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytearray(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message.cast("binary")), 256))), 256)

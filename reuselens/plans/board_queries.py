@@ -552,3 +552,19 @@ def parse_embedding_figures(spark, sf_dir):
     v = F.col("embedding").cast("array<double>")
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
     return parse_embedding(spark, sf_dir).select("vec_id", F.size(v).alias("dims"), F.round(norm, 4).alias("norm"), F.array_position(v, F.array_max(v)).cast("int").alias("at"), F.round(F.array_max(v), 3).alias("largest"))
+
+
+@query("SELECT first_trade_name, population, CASE WHEN first_trade_name IN ('BUILDING', 'MACHINERY') THEN population ELSE sample END AS sample FROM (" + ORACLE_SQL["sample_size"] + ")")
+def full_take(spark, sf_dir):
+    """Sample sizes where two industries are taken whole."""
+    s = X.settlement(spark, sf_dir)
+    g = s.groupBy("first_trade_name").agg(F.count_distinct("user_id").alias("population"), F.avg(F.when(F.col("apply_source") == "AD_PASS", 1.0).otherwise(0.0)).alias("p"))
+    whole = F.col("first_trade_name").isin("BUILDING", "MACHINERY")
+    return g.select("first_trade_name", "population", S.sample_size(F.col("p"), F.col("population"), take_all=whole).alias("sample"))
+
+
+@query(f"WITH {X.SETTLEMENT_SQL} SELECT method, count(*) AS registrations FROM (SELECT CASE trim(apply_source) WHEN 'SELLER_PASS' THEN 'shops' WHEN 'AD_PASS' THEN 'advertising' WHEN '' THEN '{N.MISSING_AUTH}' ELSE trim(apply_source) END AS method FROM fx_settlement) GROUP BY 1")
+def map_method(spark, sf_dir):
+    """Registrations by the shown name of a type: named, as it is, or marked as absent."""
+    shown = N.auth_method(F.col("apply_source"), {"SELLER_PASS": "shops", "AD_PASS": "advertising"})
+    return X.settlement(spark, sf_dir).groupBy(shown.alias("method")).agg(F.count("*").alias("registrations"))

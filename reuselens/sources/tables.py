@@ -58,6 +58,17 @@ def read_samples(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out
 
 
+def newest_file(spark: SparkSession, folder: str, patterns: tuple[str, ...] = ("annotated_w*.csv", "annotated_*.csv")) -> str | None:
+    """The last file of a folder by name that the first of ``patterns`` with any match gives; None where none has one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for pattern in patterns:
+        found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, pattern)) or []
+        if names := sorted(s.getPath().toString() for s in found):
+            return names[-1]
+    return None
+
+
 def read_urls(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a text file that begin with ``http``, outer blanks aside."""
     return spark.read.text(path).select(F.trim("value").alias("url")).where(F.startswith("url", F.lit("http")))

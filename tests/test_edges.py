@@ -171,3 +171,28 @@ def test_stream_of_states(spark, tmp_path):
     q.awaitTermination(120)
     got = {(r.task_id, r.status) for r in spark.read.parquet(out).collect()}
     assert got == {(1, "running"), (2, "done")}
+
+
+def test_newest_file(spark, tmp_path):
+    from reuselens.sources.tables import newest_file
+
+    assert newest_file(spark, f"file://{tmp_path}") is None
+    for name in ("annotated_x.csv", "annotated_old.csv", "other.csv"):
+        (tmp_path / name).write_text("a")
+    assert newest_file(spark, f"file://{tmp_path}").endswith("/annotated_x.csv")
+    for name in ("annotated_w09.csv", "annotated_w10.csv"):
+        (tmp_path / name).write_text("a")
+    assert newest_file(spark, f"file://{tmp_path}").endswith("/annotated_w10.csv")
+
+
+def test_keyed_digest(spark):
+    import hashlib
+    import hmac
+
+    from reuselens.functions.normalise import hmac_sha256
+
+    texts = ["", "a", "é漢" * 100, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for key in (b"", b"secret", bytes(range(64)), b"k" * 200):
+        got = [r[0] for r in df.select(hmac_sha256(key, F.col("t"))).collect()]
+        assert got == [None if t is None else hmac.new(key, t.encode(), hashlib.sha256).hexdigest() for t in texts]
