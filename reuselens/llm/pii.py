@@ -7,7 +7,9 @@ before a seed induce a lexical pattern, and every token with a digit or an
 ``@`` that follows the same words is an instance of the pattern. Scores flow
 over the pattern-instance graph for a few rounds: a pattern scores the mean of
 its distinct instances, an instance one minus the product of its patterns'
-doubts. Patterns with enough distinct seeds and a high score give new spans.
+doubts. Patterns with enough distinct seeds and a high score are sure: their
+instances are new spans and seeds of the next step, in which they can make
+further contexts sure, until a step adds none.
 
 All of it is DataFrame expressions; nothing runs in Python workers, and nothing
 but counts of patterns leaves the executors. Positions are code points.
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.let import let
-from ..plans.materialize import materialize
+from ..plans.materialize import drop_tables, materialize
 
 KINDS = ("email", "ip", "card", "phone")
 LEARNED = "id"
@@ -171,18 +173,36 @@ def learn_patterns(slots: DataFrame, rounds: int = 3, min_seeds: int = 5, min_sc
 
     ``slots`` has ``context``, ``value`` (a hash) and ``seed``. Repeats of one
     value in one context count once, so a group of copies is no evidence.
+
+    What a sure pattern finds is a seed of every other context from then on.
+    Seeds only become more, so do the sure patterns, and the steps end when one
+    adds no pattern; ``seeds`` counts the found ones too.
     """
-    graph = slots.where("context is not null").groupBy("context", "value").agg(F.max("seed").alias("seed"))
-    graph = materialize(graph, "pii-graph")
-    able = graph.groupBy("context").agg(F.count_if("seed").alias("seeds")).where(F.col("seeds") >= min_seeds)
-    graph = materialize(graph.join(able, "context"), "pii-graph", consumed=(graph,))
-    scored = graph.withColumn("s", F.col("seed").cast("double"))
-    patterns = None
-    for _ in range(rounds):
-        patterns = scored.groupBy("context").agg(F.avg("s").alias("score"), F.first("seeds").alias("seeds"))
-        doubts = graph.join(patterns.select("context", "score"), "context").groupBy("value").agg(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))).alias("d"))
-        scored = graph.join(doubts, "value").withColumn("s", F.when(F.col("seed"), F.lit(1.0)).otherwise(1 - F.exp("d")))
-    return materialize(patterns.where(F.col("score") >= min_score), "pii-patterns", consumed=(graph,))
+    edges = slots.where("context is not null").groupBy("context", "value").agg(F.max("seed").alias("seed"))
+    edges = materialize(edges, "pii-edges")
+    # a context with fewer values than it needs seeds is never sure
+    wide = edges.groupBy("context").agg(F.count("*").alias("n")).where(F.col("n") >= min_seeds).select("context")
+    graph = materialize(edges.join(wide, "context"), "pii-graph", consumed=(edges,))
+    sure, known = None, -1
+    while True:
+        able = graph.groupBy("context").agg(F.count_if("seed").alias("seeds")).where(F.col("seeds") >= min_seeds)
+        live = materialize(graph.join(able, "context"), "pii-live")
+        scored = live.withColumn("s", F.col("seed").cast("double"))
+        patterns = None
+        for _ in range(rounds):
+            patterns = scored.groupBy("context").agg(F.avg("s").alias("score"), F.first("seeds").alias("seeds"))
+            doubts = live.join(patterns.select("context", "score"), "context").groupBy("value").agg(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))).alias("d"))
+            scored = live.join(doubts, "value").withColumn("s", F.when(F.col("seed"), F.lit(1.0)).otherwise(1 - F.exp("d")))
+        used = (live,) if sure is None else (live, sure)
+        sure = materialize(patterns.where(F.col("score") >= min_score), "pii-patterns", consumed=used)
+        before, known = known, sure.count()
+        if known in (before, 0):
+            break
+        found = graph.join(sure.select("context"), "context", "left_semi").select("value").distinct().withColumn("found", F.lit(True))
+        grown = graph.join(found, "value", "left").select("context", "value", (F.col("seed") | F.coalesce("found", F.lit(False))).alias("seed"))
+        graph = materialize(grown, "pii-graph", consumed=(graph,))
+    drop_tables(graph)
+    return sure
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), rounds: int = 3, min_seeds: int = 5, min_score: float = 0.8) -> DataFrame:

@@ -4,7 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import brute
@@ -518,3 +518,47 @@ def test_pii_bootstrap_and_redaction(spark):
     found = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"), carry=("text",)).withColumn("out", pii.redact(F.col("text"), F.col("spans"))).collect()}
     assert found[20].out == "note customer key [ID] end" and found[21].spans == []
     assert found[22].out == "mail [EMAIL] or é@ [PHONE]."
+
+
+def _plain_patterns(slots, rounds=3, min_seeds=5, min_score=0.8):
+    edges = {}
+    for context, value, seed in slots:
+        if context is not None:
+            edges[context, value] = edges.get((context, value), False) or seed
+    seeds, sure = {e for e, seed in edges.items() if seed}, {}
+    while True:
+        held = Counter(c for c, _ in seeds)
+        live = [e for e in edges if held[e[0]] >= min_seeds]
+        score = {e: float(e in seeds) for e in live}
+        for _ in range(rounds):
+            of = {c: [score[e] for e in live if e[0] == c] for c, _ in live}
+            mean = {c: sum(v) / len(v) for c, v in of.items()}
+            doubt = defaultdict(lambda: 1.0)
+            for c, v in live:
+                doubt[v] *= 1 - min(mean[c], 0.999)
+            score = {e: 1.0 if e in seeds else 1 - doubt[e[1]] for e in live}
+        before, sure = sure, {c: (round(mean[c], 9), held[c]) for c in mean if mean[c] >= min_score} if live else {}
+        if len(sure) in (len(before) if before else -1, 0):
+            return sure
+        found = {v for c, v in edges if c in sure}
+        seeds |= {e for e in edges if e[1] in found}
+
+
+def test_pii_patterns_against_a_plain_version(spark):
+    rng = random.Random(11)
+    slots = [(None if rng.random() < 0.1 else f"w{rng.randint(0, 12)} x", rng.randint(0, 90), False) for _ in range(700)]
+    slots += [(f"key {c}", 1000 + rng.randint(0, 20) + 8 * c, c == 0 or rng.random() < 0.05) for c in range(6) for _ in range(60)]
+    got = {r.context: (round(r.score, 9), r.seeds) for r in pii.learn_patterns(spark.createDataFrame(slots, "context string, value long, seed boolean")).collect()}
+    want = _plain_patterns(slots)
+    assert got == want and len(want) > 2
+
+
+def test_pii_found_identifiers_are_seeds_of_other_contexts(spark):
+    """The second phrase has no seed of a known form beside it: only codes that the first phrase finds; the third is learned from the second."""
+    rows = [(k, f"note customer key {'%040x' % (k * 7919)} end") for k in range(30)]
+    rows += [(100 + k, f"note customer key QX-77{k}-Z end") for k in range(6)]
+    rows += [(200 + k, f"the member code QX-77{k}-Z was given") for k in range(6)] + [(250, "the member code LL-9041 was given")]
+    rows += [(300 + k, f"the lot number 44{k}-B was given") for k in range(9)]
+    found = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"), carry=("text",)).collect()}
+    assert [found[250].text[s.start : s.end] for s in found[250].spans] == ["LL-9041"]
+    assert all(found[200 + k].spans for k in range(6)) and not any(found[300 + k].spans for k in range(9))
