@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,10 @@ from ..operators import review as W
 from ..operators import sampling as P
 from ..operators import similarity as C
 from ..operators import workflow as O
+from ..operators.pages import page_from, write_pages
 from . import fixtures as X
 from .catalogue import EXPAND_B, query
-from .materialize import materialize
+from .materialize import materialize, new_path
 from .ordering import global_index
 
 C_SQL = X.CLUSTER_SQL
@@ -84,6 +87,16 @@ def paginate_items(spark, sf_dir):
     return O.page_of(X.clusters(spark, sf_dir), 0, 2, 2).select("row_idx", "user_id", "cluster_id", "total")
 
 
+@query(f"""WITH {C_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY row_idx) AS k, count(*) OVER (PARTITION BY cluster_id) AS total FROM fx_cluster)
+SELECT row_idx, user_id, cluster_id, total, page FROM n JOIN (VALUES (1, -1, 7), (2, 0, 2), (3, -1, 50), (9, 0, 2), (1, 10, 3)) q(page, c, size) ON cluster_id = c AND k > (page - 1) * size AND k <= page * size""")
+def paginate_items_stored(spark, sf_dir):
+    path = new_path(spark, "pages")
+    write_pages(X.clusters(spark, sf_dir), path, block=64, buckets=8)
+    asked = [(1, -1, 7), (2, 0, 2), (3, -1, 50), (9, 0, 2), (1, 10, 3)]
+    found = [page_from(spark, path, c, page, size).select("row_idx", "user_id", "cluster_id", "total", F.lit(page).alias("page")) for page, c, size in asked]
+    return reduce(DataFrame.unionByName, found)
+
+
 TASKS = """tasks AS (SELECT event_id AS task_id, concat(event_type, CASE WHEN value > 120 THEN '（重试2）' ELSE '' END) AS title, CASE WHEN value > 100 THEN 'failed' WHEN value > 60 THEN 'running' WHEN value > 30 THEN 'done' ELSE 'pending' END AS status,
   CASE WHEN user_id > 10 THEN 'table' END AS content, ts AS created_at, event_type AS mode FROM events)"""
 
