@@ -255,6 +255,20 @@ def attribute_misses(confirmed: DataFrame, audited: DataFrame) -> DataFrame:
     return both.withColumn("match", F.when(F.col("n_audited") == 0, "nofactor").when(F.col("n_same") > 0, "same").otherwise("diff"))
 
 
+def attribute_rows(confirmed: DataFrame, audits: DataFrame) -> DataFrame:
+    """Each row of ``confirmed`` with its account's figures of :func:`attribute_misses` and ``n_orders``, its audits.
+
+    ``audits`` has a row an audit, as :func:`fold_audits` gives it: ``pairs``
+    may be null or empty. Rows without an account have no audits.
+    """
+    urls = audits.select("user_id", F.explode("pairs").alias("p")).select("user_id", F.col("p.query_img_url").alias("url")).where("url is not null")
+    orders = audits.groupBy("user_id").agg(F.count("*").alias("n_orders"))
+    figures = attribute_misses(confirmed.where("user_id is not null"), urls).join(orders, "user_id", "left")
+    own = confirmed.join(figures, "user_id", "left")
+    zero = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_fake", "n_audited", "n_same", "n_orders")}
+    return own.withColumns(zero | {"match": F.coalesce("match", F.lit("nofactor"))})
+
+
 def prev_value(metrics: DataFrame, partition: str, order: str, value: str) -> DataFrame:
     """Each week's value with the one before it, the change, and whether it is flat (under 0.005)."""
     w = Window.partitionBy(partition).orderBy(order)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import normalise as N
 from ..functions import statistics as S
+from ..functions import vectors as V
 from ..functions.alignment import orb_align
 from ..operators import boards as B
 from ..operators import checks as K
@@ -568,3 +569,26 @@ def map_method(spark, sf_dir):
     """Registrations by the shown name of a type: named, as it is, or marked as absent."""
     shown = N.auth_method(F.col("apply_source"), {"SELLER_PASS": "shops", "AD_PASS": "advertising"})
     return X.settlement(spark, sf_dir).groupBy(shown.alias("method")).agg(F.count("*").alias("registrations"))
+
+
+SKIPS = "c AS (SELECT vec_id, CASE WHEN vec_id % 11 = 3 THEN 0 WHEN vec_id % 13 = 5 THEN 1 WHEN vec_id % 17 = 6 THEN 2 ELSE 3 END AS k, len(embedding) AS n FROM embeddings)"
+
+
+@query(f"""WITH {SKIPS} SELECT count(*) AS rows, count(*) FILTER (k = 3) AS valid, count(*) FILTER (k = 0) AS skipped_empty, count(*) FILTER (k IN (1, 2)) AS skipped_parse, CAST(max(n) AS INTEGER) AS dimension FROM c""")
+def parse_embedding_skips(spark, sf_dir):
+    """Cells that are blank, broken or one number short are counted."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    k, whole = F.col("vec_id"), F.to_json("embedding")
+    cell = F.when(k % 11 == 3, F.when(k % 2 == 0, " ")).when(k % 13 == 5, F.concat(whole, F.lit(",x"))).when(k % 17 == 6, F.regexp_replace(whole, r",[^,]*\]$", "]")).otherwise(whole)
+    return V.parse_counts(e.select("vec_id", cell.alias("embeds")), "vec_id")
+
+
+@query(f"""WITH {X.ANNOTATED_SQL}, m AS (SELECT row_idx, user_id, qualification_url AS url FROM fx_annotated WHERE remark_first = '{N.CONFIRMED}'), a AS (SELECT user_id, qualification_url AS url, row_idx FROM fx_cluster WHERE row_idx % 4 = 0 AND row_idx % 61 < 50),
+f AS (SELECT user_id, count(DISTINCT m.url) AS n_fake, (SELECT count(DISTINCT a.url) FROM a WHERE a.user_id = m.user_id AND a.row_idx % 8 = 0) AS n_audited, count(DISTINCT m.url) FILTER (m.url IN (SELECT url FROM a WHERE row_idx % 8 = 0)) AS n_same, (SELECT count(*) FROM a WHERE a.user_id = m.user_id) AS n_orders FROM m GROUP BY user_id)
+SELECT row_idx, m.user_id, n_fake, n_audited, n_same, n_orders, CASE WHEN n_audited = 0 THEN 'nofactor' WHEN n_same > 0 THEN 'same' ELSE 'diff' END AS match FROM m JOIN f USING (user_id)""")
+def miss_attribution_rows(spark, sf_dir):
+    """A row for each confirmed image; half of the audits compared nothing."""
+    rows, annotated, _ = _inputs(spark, sf_dir)
+    pair = F.struct(F.col("qualification_url").alias("query_img_url"))
+    audits = rows.where("row_idx % 4 = 0 and row_idx % 61 < 50").select("user_id", F.when(F.col("row_idx") % 8 == 0, F.array(pair)).alias("pairs"))
+    return R.attribute_rows(annotated.where(F.col("remark_first") == N.CONFIRMED), audits).select("row_idx", "user_id", "n_fake", "n_audited", "n_same", "n_orders", "match")

@@ -69,6 +69,41 @@ def cached_images(wanted: DataFrame, cache: DataFrame | None, fetch: Callable[[D
     return fresh if hits is None else hits.unionByName(fresh)
 
 
+_CACHED = "key string, h int, w int, data binary, shelf string"
+
+
+def _shelf(key: Column) -> Column:
+    return F.substring(key, 1, 2)
+
+
+def stored_images(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(key, h, w, data, shelf)`` of the images kept at ``path``; None before the first is."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return None
+    return spark.read.schema(_CACHED).parquet(path)
+
+
+def fill_cache(wanted: DataFrame, path: str, fetch: Callable[[DataFrame], DataFrame], longest: int | None = None, pieces: int = 8) -> None:
+    """Fetch what the cache at ``path`` lacks of the wanted urls, a piece at a time.
+
+    Each piece is committed by itself, so a run that breaks off leaves what it
+    has got, and the next one asks for the rest only. Images that can't be
+    fetched or decoded aren't kept; they are asked for again. ``fetch`` is as
+    in :func:`cached_images`. One run fills a cache at a time.
+    """
+    spark = wanted.sparkSession
+    own = wanted.select("url").where("url is not null").distinct().withColumn("key", cache_key(F.col("url"), longest))
+    for piece in range(pieces):
+        part = own.where(F.pmod(F.crc32("key"), F.lit(pieces)) == piece).withColumn("shelf", _shelf(F.col("key")))
+        held = stored_images(spark, path)
+        # keys only: the pictures themselves aren't read
+        missed = part if held is None else part.join(held.select("shelf", "key"), ["shelf", "key"], "left_anti")
+        new = decoded_images(fetch(missed.select("url")), longest=longest).where("h is not null").dropDuplicates(["url"])
+        kept = new.select(cache_key(F.col("url"), longest).alias("key"), "h", "w", "data").withColumn("shelf", _shelf(F.col("key")))
+        kept.repartition("shelf").write.mode("append").partitionBy("shelf").parquet(path)
+
+
 def add_artifacts(path: str, artifacts: DataFrame) -> None:
     """Append ``(run_id, stage, filename, content_type, content)`` to a store, with an id and the size."""
     own = artifacts.select("run_id", "stage", "filename", "content_type", "content", F.octet_length("content").alias("size"), F.sha1(F.concat_ws("|", F.col("run_id").cast("string"), "stage", "filename", F.sha1("content"))).alias("artifact_id"))

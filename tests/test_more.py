@@ -129,6 +129,50 @@ def _pixmap(image):
     return b"P6 %d %d 255\n" % image.shape[1::-1] + image.tobytes()
 
 
+def test_a_stored_cache_resumes(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    made = {f"http://i/{k}": rng.integers(0, 256, (6 + k, 8, 3), dtype=np.uint8) for k in range(12)}
+    wanted = spark.createDataFrame([(u,) for u in [*made, "http://i/none", "http://i/0", None]], "url string")
+    held = spark.createDataFrame([(u, _pixmap(x)) for u, x in made.items()] + [("http://i/none", b"junk")], "url string, content binary")
+    path, asked = f"file://{tmp_path}/cache", []
+
+    def fetch(misses, breaks_at=None):
+        if len(asked) == breaks_at:
+            raise OSError("gone")
+        asked.append(sorted(r.url for r in misses.collect()))
+        return misses.join(held, "url")
+
+    with pytest.raises(OSError):
+        blobs.fill_cache(wanted, path, lambda m: fetch(m, 3), pieces=4)
+    first = sum(asked, [])
+    assert blobs.stored_images(spark, path).count() == len(set(first) - {"http://i/none"})
+    asked.clear()
+    blobs.fill_cache(wanted, path, fetch, pieces=4)
+    assert sorted(set(first) | set(sum(asked, []))) == sorted([*made, "http://i/none"]) and not (set(first) - {"http://i/none"}) & set(sum(asked, []))
+    stored = {r.key: r for r in blobs.stored_images(spark, path).collect()}
+    assert len(stored) == 12 and all(bytes(stored[hashlib.sha1(f"Lorig|{u}".encode()).hexdigest()].data) == x.tobytes() for u, x in made.items())
+    asked.clear()
+    blobs.fill_cache(wanted, path, fetch, pieces=4)
+    assert sum(asked, []) == ["http://i/none"] and blobs.stored_images(spark, path).count() == 12
+    hits = blobs.cached_images(wanted, blobs.stored_images(spark, path), fetch)
+    assert hits.where("cached").count() == 12
+
+
+def test_counts_of_parsed_cells(spark):
+    cells = [(3, "[1, 2]"), (1, "x"), (2, "['1','2']"), (4, " "), (5, None), (6, "1,2,3"), (7, "[]"), (0, "")]
+    assert tuple(V.parse_counts(spark.createDataFrame(cells, "k int, embeds string"), "k").first()) == (8, 2, 3, 3, 2)
+    none = spark.createDataFrame([], "k int, embeds string")
+    assert tuple(V.parse_counts(none, "k").first()) == (0, 0, 0, 0, None)
+    assert tuple(V.parse_counts(spark.createDataFrame([(1, "x"), (2, None)], "k int, embeds string"), "k").first()) == (2, 0, 1, 1, None)
+
+
+def test_attribution_by_row(spark):
+    mine = spark.createDataFrame([("a", "u1", 1), ("a", "u1", 2), ("a", "u2", 3), ("b", "u3", 4), ("c", "u4", 5), (None, "u5", 6)], "user_id string, qualification_url string, k int")
+    audits = spark.createDataFrame([("a", [("u1",), ("u9",)]), ("a", None), ("b", [("u8",)]), ("c", []), (None, [("u5",)])], "user_id string, pairs array<struct<query_img_url string>>")
+    got = {r.k: (r.n_fake, r.n_audited, r.n_same, r.n_orders, r.match) for r in reports.attribute_rows(mine, audits).collect()}
+    assert got == {1: (2, 2, 1, 2, "same"), 2: (2, 2, 1, 2, "same"), 3: (2, 2, 1, 2, "same"), 4: (1, 1, 0, 1, "diff"), 5: (1, 0, 0, 1, "nofactor"), 6: (0, 0, 0, 0, "nofactor")}
+
+
 def test_images_and_their_cache(spark, tmp_path):
     rng = np.random.default_rng(3)
     made = {f"http://i/{k}": rng.integers(0, 256, (10 + k, 20, 3), dtype=np.uint8) for k in range(3)}
