@@ -140,9 +140,18 @@ def digest(form: Column) -> Column:
     return F.when(words != "", F.sha2(words, 256))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str], ...] = KNOWN_DIGESTS) -> DataFrame:
-    """``(digest, names)`` of a list of licence texts and one of digests of canonical forms."""
-    table = spark.createDataFrame(list(known), "name string, text string").select("name", digest(canonical(F.col("text"))).alias("digest"))
+def known_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """``(name, text)`` of a folder with a file a licence, named as the licence is, with or without ``.txt``."""
+    files = spark.read.text(folder, wholetext=True)
+    name = F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1), r"\.txt$", "")
+    return files.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("name"), F.col("value").alias("text"))
+
+
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str], ...] = KNOWN_DIGESTS, texts: DataFrame | None = None) -> DataFrame:
+    """``(digest, names)`` of a list of licence texts, one of digests of canonical forms, and ``texts (name, text)`` of any number."""
+    table = spark.createDataFrame(list(known), "name string, text string")
+    table = table if texts is None else table.unionByName(texts.select("name", "text"))
+    table = table.select("name", digest(canonical(F.col("text"))).alias("digest"))
     named = table.unionByName(spark.createDataFrame(list(digests), "name string, digest string")).where("digest is not null")
     return named.groupBy("digest").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("names"))
 

@@ -467,7 +467,7 @@ def test_bpe_pieces():
 
 @pytest.mark.skipif(not Path("/usr/share/common-licenses/GPL-3").exists(), reason="no licence texts on this machine")
 def test_whole_licence_texts(spark):
-    names = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    names = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
     rows = []
     for k, f in enumerate(names):
         text = Path("/usr/share/common-licenses", f).read_text(encoding="utf-8")
@@ -477,6 +477,17 @@ def test_whole_licence_texts(spark):
         assert [found[10 * k], found[10 * k + 1], found[10 * k + 2]] == [name, name, None]
 
 
+def test_licences_of_a_folder(spark, tmp_path):
+    (tmp_path / "House-1.0.txt").write_text("Copyright 2020 House\nUse it, but never on a Sunday.\n")
+    (tmp_path / "House 2+").write_text("Use it, whilst you can.")
+    texts = licenses.known_texts(spark, f"file://{tmp_path}")
+    same = spark.createDataFrame([("House-1.1", "use it but never on a sunday"), ("empty", ""), ("none", None)], "name string, text string")
+    known = licenses.known_digests(spark, texts=texts.unionByName(same))
+    rows = [(1, "USE IT -- but never on a Sunday!"), (2, "use it while you can\n(c) 2021 me"), (3, ""), (4, "Some words.\n  Use it, while you can.")]
+    got = {r.doc_id: (r.license, r.notices) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()}
+    assert got == {1: ("House-1.0,House-1.1", "House-1.0,House-1.1"), 2: ("House 2+", "House 2+"), 3: (None, ""), 4: (None, "House 2+")}
+
+
 def test_licences(spark):
     mit = dict(licenses.KNOWN[:1])["MIT"]
     rows = [
