@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import centroids
 from ..plans.materialize import materialize
 from .checks import require_downloads
-from .similarity import BLOCK, aligned_pair, candidate_edges, knn_exact, label_clusters, verify_edges
+from .similarity import BLOCK, aligned_pair, candidate_edges, knn_exact, label_clusters, verify_edges, with_images
 
 Align = Callable[[np.ndarray, np.ndarray], np.ndarray | None]
 # The side of a block, the share of blocks taken as background and the share taken as the changed part.
@@ -125,9 +125,8 @@ def background_measure(x: np.ndarray, y: np.ndarray | None) -> tuple[bool, float
 
 def borderline(edges: DataFrame, images: DataFrame, align: Align | None = None) -> DataFrame:
     """Edges with ``measurable``, ``background`` and ``concentration`` of their images; an absent image is not measurable."""
-    sides = [images.select(F.col("row_idx").alias(end), F.struct("h", "w", "data").alias(name)) for end, name in (("src", "x"), ("dst", "y"))]
     columns = edges.columns
-    joined = edges.join(sides[0], "src", "left").join(sides[1], "dst", "left").select(*columns, "x", "y")
+    joined = with_images(materialize(edges, "borderline-edges"), images, ("src", "dst"), ("x", "y")).select(*columns, "x", "y")
 
     def one(a: dict | None, b: dict | None) -> tuple[bool, float, float]:
         pair = aligned_pair(a, b, align)

@@ -106,3 +106,28 @@ def test_pixel_clusters_of_moved_images(spark):
         want.setdefault(find(i), set()).add(i)
         got.setdefault(found[i] if found[i] >= 0 else ("alone", i), set()).add(i)
     assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values())) and len(edges) > 10
+
+
+def test_images_are_not_broadcast(spark):
+    """As stored these images are a few KB, in memory 60 MB; each pair of contents is compared once."""
+    from pyspark.sql import functions as F
+
+    from reuselens.operators.similarity import with_images
+    from reuselens.plans.materialize import materialize
+
+    data = F.unhex(F.repeat(F.when(F.col("id") % 2 == 0, "00").otherwise("FF"), 100 * 100 * 3))
+    images = materialize(spark.range(2000).select(F.col("id").alias("row_idx"), F.lit(100).alias("h"), F.lit(100).alias("w"), data.alias("data")), "same-images")
+    edges = materialize(spark.range(5000).select((F.col("id") % 1999).alias("src"), (F.col("id") % 1999 + 1 + F.col("id") % 2).alias("dst"), F.lit(0.9).alias("score")), "same-edges")
+    plan = with_images(edges, images, ("src", "dst"), ("a", "b"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2
+    got = {(r.src, r.dst, r.pixel_rate, r.status, r.kept) for r in verify_edges(edges, images).collect()}
+    want = {(i % 1999, j, float((i % 1999 - j) % 2 == 0), "skipped", (i % 1999 - j) % 2 == 0) for i in range(5000) if (j := i % 1999 + 1 + i % 2) < 2000}
+    assert want <= got and {g[3] for g in got - want} <= {"no_image"}
+    calls = spark.sparkContext.accumulator(0)
+
+    def align(x, y):
+        calls.add(1)
+        return y
+
+    assert verify_edges(edges, images, align=align).where("status = 'aligned'").count() == len(edges.where("dst < 2000").collect())
+    assert calls.value <= 4
