@@ -7,9 +7,10 @@ subtract-green and palette transforms. Images of a batch advance together, one
 pixel a step, so a step is a few array operations for all of them; tables of
 prefix codes that recur are parsed once.
 
-The encoder writes literals, runs and colour-cache hits with one of two fixed
+The encoder writes literals, runs and colour-cache hits with one of three fixed
 prefix-code profiles (whichever is shorter for an image), and on demand any of
-the transforms.
+the transforms. ``encode_best`` chooses for each image, by an estimate of its
+bits, between no transform, subtract-green, and a predictor after either.
 
 ``store`` keeps a text as images of 12 pixels a row, four bytes a pixel, at
 most ``TILE`` blocks of 576 bytes an image; ``features`` reads them back.
@@ -91,6 +92,11 @@ def _profile(name: str, cache: int) -> list[np.ndarray]:
         byte[128:192] = 8
         for chars, n in (("abcdefghijklmnopqrstuvwxyz", 512), (" ", 1024), ("\n,.", 128), ("Ã", 256), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16)):
             byte[[ord(c) for c in chars]] = n
+    if name == "steps":  # what a prediction leaves: none, or a little up or down
+        byte[:] = 4
+        for near, n in ((64, 16), (16, 64), (4, 256), (1, 2048)):
+            byte[:near], byte[256 - near :] = n, n
+        byte[0] = 16384
     byte *= 64
     total = int(byte.sum())
     same = _huffman_lengths(byte, 15)
@@ -101,7 +107,7 @@ def _profile(name: str, cache: int) -> list[np.ndarray]:
     return [_huffman_lengths(green, 15), same, same, same, distance]
 
 
-PROFILES = ("prose", "flat")
+PROFILES = ("prose", "flat", "steps")
 
 
 # -- encoder
@@ -287,6 +293,73 @@ def encode(images: list[np.ndarray], cache_bits: int = CACHE_BITS, transforms: t
     return [_container(*min(options, key=lambda x: x[1])) for options in zip(*tries)]
 
 
+#: Ways to store an image: transforms, in the order they are made, and the predictor's mode.
+WAYS = (((), 0), ((SUBTRACT_GREEN,), 0), ((PREDICTOR,), 1), ((PREDICTOR,), 2), ((SUBTRACT_GREEN, PREDICTOR), 1), ((SUBTRACT_GREEN, PREDICTOR), 2))
+
+
+def _residues(flat: np.ndarray, start: np.ndarray, width: int) -> list[np.ndarray]:
+    """Pixels of all images, one after the other, in each of ``WAYS``; ``start`` is where the image of each pixel begins."""
+    k = np.arange(len(flat))
+    place = k - start
+    green = flat.view(np.uint8).reshape(-1, 4).copy()
+    green[:, 0] -= green[:, 1]
+    green[:, 2] -= green[:, 1]
+    bases = {(): flat, (SUBTRACT_GREEN,): green.view(np.uint32).ravel()}
+    left, top = np.where(place % width > 0, k - 1, k - width), np.where(place >= width, k - width, k - 1)
+    out = []
+    for transforms, mode in WAYS:
+        base = bases[transforms[:1] if transforms[:1] == (SUBTRACT_GREEN,) else ()]
+        if PREDICTOR in transforms:
+            guess = np.where(place > 0, base[np.maximum(left if mode == 1 else top, 0)], np.uint32(0xFF000000)).astype(np.uint32)
+            base = (base.view(np.uint8) - guess.view(np.uint8)).view(np.uint32)
+        out.append(base)
+    return out
+
+
+def encode_best(images: list[np.ndarray], cache_bits: int = CACHE_BITS) -> list[bytes]:
+    """WebP files of images of one width, each with the transforms and the profile that take the fewest bits by an estimate."""
+    if not images:
+        return []
+    width, n = images[0].shape[1], len(images)
+    flat = np.concatenate([i.ravel() for i in images]).astype(np.uint32)
+    sizes = np.array([i.size for i in images])
+    owner = np.repeat(np.arange(n), sizes)
+    start = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = np.cumsum(sizes) - sizes
+    ways = _residues(flat, start, width)
+    leads, bits = [], []
+    for (transforms, mode), pixels in zip(WAYS, ways):
+        heads: dict[int, list[tuple[int, int]]] = {}
+        for h in sorted({i.shape[0] for i in images}):
+            head = _Tokens()
+            head.put(0x2F, 8), head.put(width - 1, 14), head.put(h - 1, 14), head.put(1, 1), head.put(0, 3)
+            for kind in transforms:
+                head.put(1, 1), head.put(kind, 2)
+                if kind == PREDICTOR:
+                    head.put(1, 3)
+                    _sub_image(head, np.uint32(0xFF000000) | np.full((-(-h >> 3), -(-width >> 3)), mode, np.uint32) << np.uint32(8))
+            head.put(0, 1), head.put(1, 1), head.put(cache_bits, 4), head.put(0, 1)
+            heads[h] = head.items
+        leads.append(heads)
+        spent = np.array([sum(b for _, b in heads[i.shape[0]]) for i in images])
+        new = np.r_[True, (pixels[1:] != pixels[:-1]) | (owner[1:] != owner[:-1])]  # runs are nearly free
+        for name in PROFILES:
+            lengths, _, items = _coded(name, 1 << cache_bits)
+            byte = lengths[1][:256].astype(np.uint8)
+            each = byte[pixels.view(np.uint8)].reshape(-1, 4).sum(axis=1) * new
+            bits.append(np.add.reduceat(each, first) + spent + sum(b for _, b in items))
+    chosen = np.argmin(bits, axis=0)
+    out: list[bytes] = [b""] * n
+    for c in np.unique(chosen).tolist():
+        way, name = divmod(c, len(PROFILES))
+        of = np.flatnonzero(chosen == c)
+        taken = chosen[owner] == c
+        lead = [leads[way][images[k].shape[0]] for k in of]
+        for k, found in zip(of.tolist(), _encode_profile(ways[way][taken], np.repeat(np.arange(len(of)), sizes[of]), len(of), PROFILES[name], cache_bits, lead)):
+            out[k] = _container(*found)
+    return out
+
+
 def _sub_image(head: _Tokens, image: np.ndarray) -> None:
     """A small image inside the stream: no cache, plain codes."""
     head.put(0, 1)
@@ -624,6 +697,12 @@ def _invert(image: np.ndarray, kind: int, size: int, data: np.ndarray | None, wi
         return _join(a, r, g, b)
     modes = (blocks >> np.uint32(8) & np.uint32(15)).astype(np.int64)
     planes = _channels(image)
+    if modes.min() == modes.max() and modes[0, 0] in (1, 2):  # sums along rows and columns
+        planes[0, 0, 0] += 255
+        line = 2 if modes[0, 0] == 1 else 1
+        edge = planes[:, :, 0] if line == 2 else planes[:, 0]
+        edge[:] = np.cumsum(edge, axis=1)
+        return _join(*np.cumsum(planes, axis=line))
     for y in range(h):
         for x in range(w):
             planes[:, y, x] = (planes[:, y, x] + _predict(planes, y, x, int(modes[y, x]), w)) & 255
@@ -703,7 +782,7 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             for b in _chunks(whole, 1, 4 << 20):
                 texts = b.column(1).to_pylist()
                 tiles = [_tiles(payload(t)) for t in texts]
-                files = iter(encode([x for t in tiles for x in t]))
+                files = iter(encode_best([x for t in tiles for x in t]))
                 media = [b"".join(next(files) for _ in t) for t in tiles]
                 sizes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])

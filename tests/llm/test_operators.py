@@ -198,6 +198,26 @@ def test_webp_simple_codes_and_damage():
         webp.decode([whole[:4] + (40).to_bytes(4, "little") + whole[8:16] + (28).to_bytes(4, "little") + whole[20:48]])
 
 
+def test_stored_media_have_transforms(spark):
+    """Each text is stored in the way that is shortest, and a table's decoder inverts transforms."""
+    rng = np.random.default_rng(5)
+    row = "".join(chr(c) for c in rng.integers(97, 123, 48))
+    slope = "".join(chr(33 + (k // 4 + k % 4) % 90) for k in range(6000))
+    rows = [(1, row * 60), (2, slope), (3, "the quick brown fox jumps over the lazy dog " * 3), (4, None), (5, row)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    used = {}
+    for r in webp.store(docs).collect():
+        headers, kinds = webp._Headers(), []
+        for f in webp.split_files(r.media):
+            dims = int.from_bytes(f[21:25], "little")
+            kinds.append([t[0] for t in headers.parse(f[20:], (dims & 0x3FFF) + 1, (dims >> 14 & 0x3FFF) + 1).transforms])
+        used[r.doc_id] = kinds
+        assert b"".join(x.tobytes() for x in webp.decode(webp.split_files(r.media))) == webp.payload(dict(rows)[r.doc_id])
+    assert webp.PREDICTOR in used[1][0] and webp.PREDICTOR in used[2][0] and used[5] == [[]]
+    images = [rng.integers(0, 2**32, (h, 12), dtype=np.uint32) for h in (12, 24, 48, 12)] + [np.arange(144, dtype=np.uint32).reshape(12, 12) * np.uint32(0x01010101)]
+    assert all((a == b).all() for a, b in zip(images, webp.decode(webp.encode_best(images))))
+
+
 def test_media(edge):
     for r in OPERATORS["media"](edge).collect():
         raw = (dict(EDGE)[r.doc_id] or "").encode()
