@@ -369,14 +369,21 @@ def _similar_texts(docs: DataFrame, id_col: str, text_col: str, shingle: int, si
         mixed = named.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("band")
         return materialize(named.join(mixed, "band", "left_semi"), "similar-rows", consumed=(rows,))
 
-    edges = tried = left = None
+    # SimHash first: texts of one fingerprint, and of linked ones, are checked on their shingles; bands then find what fingerprints miss
+    fps = materialize(fingerprints(texts, "rep", "text"), "similar-fingerprints")
+    reps = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "similar-reps")
+    equal = fps.join(reps, "fp").where("doc_id <> rep").select(F.col("doc_id").alias("src"), F.col("rep").alias("dst"))
+    linked = equal.unionByName(links(reps)).select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct()
+    tried = materialize(linked, "similar-pairs", consumed=(fps, reps))
+    edges = checked(tried)
+    rows = labelled(rows, edges)
+    left = None
     for k in range(1 << 10):
         pivot = rows.groupBy("band").agg(F.min_by(F.struct("rep", "component"), F.struct(F.xxhash64("rep", F.lit(k)), "rep")).alias("p"))
         pairs = rows.join(pivot, "band").where(F.col("component") != F.col("p.component")).select(F.greatest("rep", "p.rep").alias("src"), F.least("rep", "p.rep").alias("dst")).distinct()
-        pairs = materialize(pairs if tried is None else pairs.join(tried, ["src", "dst"], "left_anti"), "similar-pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = checked(materialize(near(pairs), "similar-near"))
-        edges = found if edges is None else edges.unionByName(found)
+        pairs = materialize(pairs.join(tried, ["src", "dst"], "left_anti"), "similar-pairs")
+        tried = tried.unionByName(pairs)
+        edges = edges.unionByName(checked(materialize(near(pairs), "similar-near")))
         rows = labelled(rows, edges)
         sizes = rows.groupBy("band", "component").agg(F.count("*").cast("double").alias("n")).groupBy("band").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"))
         n, now = sizes.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
@@ -394,8 +401,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``(doc_id, group_id)``: groups of texts whose word shingles have a
     Jaccard similarity of ``similarity`` or more, by the smallest id.
 
-    Equal texts are folded. Texts meet where one of 32 bands of min-hashes is
-    equal, which a pair at 0.8 misses with probability 6e-5, whatever the size
+    Equal texts are folded. Texts whose SimHash fingerprints are linked
+    (``DISTANCE`` bits) are checked on their shingles first. Texts not linked by
+    these meet where one of 32 bands of min-hashes is equal, which a pair at 0.8 misses with probability 6e-5, whatever the size
     of the table or of the band. Pairs that meet are held against each other by
     sketches of 192 min-hashes, and those alike enough are checked on their
     shingles, but for pairs that others have linked by then: first, rounds in

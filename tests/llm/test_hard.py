@@ -75,3 +75,16 @@ def test_many_equal_rows_on_both_sides_of_a_pair(spark):
     groups = Counter((r.doc_id, r.group_id) for r in simhash.similar_documents(docs).collect())
     assert groups == {(4, 4): 1, (1, 1): 1000, (2, 1): 1000, (None, 1): 50}
     assert Counter((r.doc_id, r.text) for r in simhash.without_near_copies(docs).collect()) == {(4, A): 1, (1, B): 1}
+
+
+def test_simhash_pairs_come_first(spark, monkeypatch):
+    """Texts linked by their fingerprints are one group without any band; those that only look alike are not."""
+    near = B.split()
+    near[100] = "other"
+    rows = [(1, B), (2, " ".join(near)), (3, A)]
+    assert bin(simhash.fingerprint(rows[0][1]) ^ simhash.fingerprint(rows[1][1])).count("1") <= simhash.DISTANCE
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    empty = spark.createDataFrame([], "rep long, bands array<long>, sketch binary")
+    real = simhash.materialize
+    monkeypatch.setattr(simhash, "materialize", lambda df, name, *a, **b: real(empty if name == "similar-sketches" else df, name, *a, **b))
+    assert {(r.doc_id, r.group_id) for r in simhash.similar_documents(docs).collect()} == {(1, 1), (2, 1), (3, 3)}
