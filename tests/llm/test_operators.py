@@ -446,6 +446,34 @@ def test_windows_that_fail_meet_others(spark):
     assert {(r.doc_id, r.other_id) for r in found if r.doc_id < r.other_id} == {(100 * k, 100 * k + 1) for k in range(30)}
 
 
+def test_windows_of_a_key_have_ranks_of_their_own(spark, monkeypatch):
+    """A key's windows are in one task when they are ranked, also where the join before that becomes a broadcast."""
+    rng = random.Random(5)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    phrase = words(40)
+    rows = [(k, " ".join([*words(60), *phrase, *words(60)])) for k in range(60)]
+    ranks, write = [], compact_windows.materialize
+
+    def seen(df, name, **kept):
+        out = write(df, name, **kept)
+        if name == "windows-ranked" and not ranks:
+            ranks.extend((r.v, r.rank) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(compact_windows, "materialize", seen)
+    # a join is planned with a shuffle, and becomes a broadcast as it runs
+    planned = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in planned}
+    try:
+        for key, value in planned.items():
+            spark.conf.set(key, value)
+        compact_windows.near_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(ranks) >= 60 and len(set(ranks)) == len(ranks)
+
+
 def test_passages_on_tables(spark, texts):
     held = defaultdict(set)
     for i, t in texts.items():
