@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,26 +80,41 @@ def cluster_pairs(rows: DataFrame, least: float, vector: str = "embedding") -> D
 def best_member_pairs(rows: DataFrame, pairs: DataFrame, least: float, id_col: str = "row_idx", vector: str = "embedding", part: int = 512) -> DataFrame:
     """``(a, b, src, dst, score)``: for each pair of clusters its two most similar members, where their cosine is ``least`` or more.
 
-    Members of a cluster are dealt into parts of about ``part`` rows; a group
-    is one part of either cluster, so a large cluster is never one group.
+    Members of a cluster are dealt into parts of about ``part`` rows, each a
+    row of its own; a pair of parts is one row of a batch, not a group of its
+    own, so that very many pairs of small clusters cost their products alone.
     """
     size = rows.where("cluster_id >= 0").where(F.size(vector) > 0).groupBy("cluster_id").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
     own = rows.where(F.size(vector) > 0).join(size, "cluster_id").select(F.col("cluster_id").cast("long").alias("c"), F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(id_col), "parts").cast("int").alias("part"))
     parts = size.select(F.col("cluster_id").cast("long").alias("c"), "parts")
     grid = pairs.select("a", "b").join(parts.select(F.col("c").alias("a"), F.col("parts").alias("pa")), "a").join(parts.select(F.col("c").alias("b"), F.col("parts").alias("pb")), "b")
     grid = grid.select("a", "b", F.explode(F.sequence(F.lit(0), F.col("pa") - 1)).alias("pa"), "pb").select("a", "b", "pa", F.explode(F.sequence(F.lit(0), F.col("pb") - 1)).alias("pb"))
-    keys = ["a", "b", "pa", "pb"]
-    side = lambda c, p: grid.join(own.select(F.col("c").alias(c), F.col("part").alias(p), "id", "v"), [c, p]).select(*[F.col(k).alias(k) for k in (*keys, "id", "v")])  # noqa: E731  columns of its own for each side
-
-    def best(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({c: [] for c in ("a", "b", "src", "dst", "score")}).astype({"a": "int64", "b": "int64", "src": "int64", "dst": "int64", "score": "float64"})
-        x, y = x.sort_values("id"), y.sort_values("id")
-        scores = np.stack(x["v"].to_numpy()) @ np.stack(y["v"].to_numpy()).T
-        i, j = np.unravel_index(scores.argmax(), scores.shape)
-        return pd.DataFrame({"a": [x["a"].iloc[0]], "b": [x["b"].iloc[0]], "src": [x["id"].iloc[i]], "dst": [y["id"].iloc[j]], "score": [scores[i, j]]})
-
-    found = side("a", "pa").groupBy(*keys).cogroup(side("b", "pb").groupBy(*keys)).applyInPandas(best, "a long, b long, src long, dst long, score double")
+    packed = own.groupBy("c", "part").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("m"))  # a row a part
+    side = lambda c, p, m: packed.select(F.col("c").alias(c), F.col("part").alias(p), F.col("m").alias(m))
+    met = grid.join(side("a", "pa", "x"), ["a", "pa"]).join(side("b", "pb", "y"), ["b", "pb"]).select("a", "b", "x", "y")
+
+    def opened(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Offsets of the rows' members, their ids, and their vectors one after the other."""
+        ids, v = column.flatten().flatten()
+        v = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
+        sizes = np.asarray(column.value_lengths())
+        return np.r_[0, np.cumsum(sizes)], ids.to_numpy(zero_copy_only=False), v
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            (i, src, x), (j, dst, y) = opened(b.column("x")), opened(b.column("y"))
+            out = []
+            for k in range(b.num_rows):
+                scores = x[i[k] : i[k + 1]] @ y[j[k] : j[k + 1]].T
+                at = int(scores.argmax())
+                p, q = divmod(at, scores.shape[1])
+                out.append((src[i[k] + p], dst[j[k] + q], scores[p, q]))
+            columns = [np.array(c) for c in zip(*out)]
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), *(pa.array(c) for c in columns)], names=["a", "b", "src", "dst", "score"])
+
+    found = met.mapInArrow(best, "a long, b long, src long, dst long, score double")
     top = found.groupBy("a", "b").agg(F.min(F.struct((-F.col("score")).alias("s"), "src", "dst")).alias("m"))
     return top.select("a", "b", "m.src", "m.dst", (-F.col("m.s")).alias("score")).where(F.col("score") >= least)
 
