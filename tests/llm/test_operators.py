@@ -474,6 +474,43 @@ def test_windows_of_a_key_have_ranks_of_their_own(spark, monkeypatch):
     assert len(ranks) >= 60 and len(set(ranks)) == len(ranks)
 
 
+def test_rounds_do_not_grow_with_the_square_of_a_key(spark, monkeypatch):
+    """A phrase too short for a passage ends before the rounds, and a word that is repeated is one run, not a window a place."""
+    rng = random.Random(6)
+    words = lambda n: [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    phrase = words(40)
+    rows = [(k, " ".join([*words(60), *phrase, *words(60)])) for k in range(60)]
+    rows += [(100 + k, " ".join([*words(30), *["the"] * (40 if k < 6 else 400), *words(30)])) for k in range(12)]
+    made, write = [], compact_windows.materialize
+
+    def seen(df, name, **kept):
+        out = write(df, name, **kept)
+        if name == "windows-met":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(compact_windows, "materialize", seen)
+    found = compact_windows.near_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sum(made[1:]) <= 12 * 12 * 16, made  # rounds after the first meeting: pairs of the texts with runs, in sixteen keys at most
+    held = {d: {k for r in found if r.doc_id == d for k in range(r.start, r.end)} for d in range(106, 112)}
+    assert all(held[d] >= set(range(30, 430)) for d in held) and {r.doc_id for r in found} == {*held}
+
+
+def test_places_in_dense_stretches():
+    """Against all stretches of at least so many places."""
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        own = rng.integers(0, rng.integers(2, 40), n).astype(np.uint64)
+        shared = np.unique(rng.choice(own, rng.integers(0, n + 1)))
+        held = {k for s, e in zip(*compact_windows._dense(own, shared, 6, 0.8)) for k in range(s, e)}
+        for s in range(n):
+            for e in range(s + 6, n + 1):
+                different = set(own[s:e].tolist())
+                if len(different & set(shared.tolist())) >= 0.8 * len(different):
+                    assert held >= set(range(s, e))
+
+
 def test_passages_on_tables(spark, texts):
     held = defaultdict(set)
     for i, t in texts.items():
