@@ -496,6 +496,26 @@ def test_rounds_do_not_grow_with_the_square_of_a_key(spark, monkeypatch):
     assert all(held[d] >= set(range(30, 430)) for d in held) and {r.doc_id for r in found} == {*held}
 
 
+def test_windows_of_a_run_take_one_step(monkeypatch):
+    """A value that stands 5,000 times in a row, in a text of others: the windows of a plain tree, in few steps."""
+    rng = np.random.default_rng(4)
+    own = np.concatenate([rng.integers(1, 2**63, 100), np.full(5000, 7), rng.integers(1, 2**63, 100)]).astype(np.uint64)
+    calls, mix = [], compact_windows._mix
+    values = [mix(own, j + 1) for j in range(2)]
+    monkeypatch.setattr(compact_windows, "_mix", lambda x, seed: calls.append(seed) or mix(x, seed))
+    found = compact_windows.windows(values, np.array([0]), np.array([len(own)]), 46)
+    want = set()
+    for v in values:
+        high, todo = v >> np.uint64(24), [(0, len(own) - 1)]
+        while todo:
+            a, b = todo.pop()
+            if b - a + 1 >= 46:
+                c = a + int(np.argmin(high[a : b + 1]))
+                want |= {(a, c, b)} if max(c - a, b - c) >= 23 else set()
+                todo += [(a, c - 1), (c + 1, b)]
+    assert set(zip(*[x.tolist() for x in found[1:]])) == want and len(calls) < 400
+
+
 def test_places_in_dense_stretches():
     """Against all stretches of at least so many places."""
     rng = np.random.default_rng(1)
