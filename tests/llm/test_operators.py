@@ -10,6 +10,7 @@ from pathlib import Path
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -496,6 +497,100 @@ def test_rounds_do_not_grow_with_the_square_of_a_key(spark, monkeypatch):
     assert all(held[d] >= set(range(30, 430)) for d in held) and {r.doc_id for r in found} == {*held}
 
 
+def test_texts_are_taken_apart_once(spark, monkeypatch):
+    """Words are hashed in the first step; no later one reads or shuffles texts."""
+    rng = random.Random(14)
+    words = lambda n: [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    passage, rows = words(70), []
+    for k in range(6):
+        rows.append((k, " ".join([*words(20), *passage[10 * (k % 3) :], *words(20)])))
+    plans, write = {}, compact_windows.materialize
+
+    def seen(df, name, **kept):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name, **kept)
+
+    monkeypatch.setattr(compact_windows, "materialize", seen)
+    found = compact_windows.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {*range(6)} and "passage-links" in plans
+    assert [name for name, plan in plans.items() if "text" in plan] == ["passages-words"]
+
+
+def test_words_hashed_in_bulk():
+    """The words of many texts at a time: equal hashes for equal words, A-Z aside, and none across texts."""
+    rng = random.Random(15)
+    letters = ["a", "A", "b", "é", "É", "ß", "文", " ", "  ", "\n", "\t\x0b", "\x0c\r", "\u00a0", ""]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(400)] + ["", " ", "a b", "A\nB", "b a"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    rows = [r for b in compact_windows._worded(iter([batch.slice(0, 100), batch.slice(100)])) for r in b.to_pylist()]
+    split = [t.encode().lower().split() for t in texts]
+    assert [r["n"] for r in rows] == [len(w) for w in split]
+    named = {}
+    for r, own in zip(rows, split):
+        for word, value in zip(own, np.frombuffer(r["words"], np.uint32).tolist(), strict=True):
+            assert named.setdefault(word, value) == value
+    assert len(set(named.values())) == len(named) > 100
+    folded = [" ".join(t.lower().split()) if "\u00a0" not in t else None for t in texts]
+    for k in range(0, len(texts), 7):
+        assert all((rows[k]["h"] == r["h"]) == (folded[k] == f) for r, f in zip(rows, folded) if f is not None and folded[k] is not None)
+
+
+def _cut(columns, names, rng):
+    """The rows as batches of any size, empty ones too."""
+    at, batches = 0, []
+    while at < len(columns[0]):
+        n = rng.choice([0, 1, 2, 7, 50])
+        batches.append(pa.RecordBatch.from_arrays([pa.array(c[at : at + n]) for c in columns], names=list(names)))
+        at += n
+    return iter(batches)
+
+
+def test_spans_and_open_windows_in_order():
+    """Islands of spans, windows in no passage and live keys, held against plain versions, however rows fall into batches."""
+    rng = random.Random(16)
+    for _ in range(60):
+        spans = sorted((rng.randrange(3), rng.randrange(3), s := rng.randrange(60), s + rng.randrange(8), t := rng.randrange(60), t + rng.randrange(8)) for _ in range(rng.randint(1, 60)))
+        want = []
+        for pair in {r[:2] for r in spans}:
+            todo = [[r for r in spans if r[:2] == pair]]
+            for a in (2, 4):  # apart in the first text, then in the other
+                parts = []
+                for group in todo:
+                    reach = None
+                    for r in sorted(group, key=lambda r: r[a : a + 2]):
+                        if reach is None or r[a] > reach:
+                            parts.append([])
+                        parts[-1].append(r)
+                        reach = r[a + 1] if reach is None else max(reach, r[a + 1])
+                todo = parts
+            want += [(*pair, *(f(r[k] for r in g) for f, k in zip((min, max, min, max), (2, 3, 4, 5)))) for g in todo]
+        found = [tuple(r.values()) for b in compact_windows._join_spans(_cut([*zip(*spans)], compact_windows._SPAN, rng)) for r in b.to_pylist()]
+        assert sorted(found) == sorted(want)
+
+        windows = [(rng.randrange(4), rng.randrange(4), rng.randrange(30), rng.randrange(2), 1) for _ in range(rng.randint(1, 60))]
+        passages = [(0, rng.randrange(4), s := rng.randrange(30), s + rng.randrange(6), 0) for _ in range(rng.randint(0, 5))]
+        rows = sorted([*windows, *passages], key=lambda r: (r[1], r[2], r[4], r[0], r[3]))
+        marked = [tuple(r.values()) for b in compact_windows._opened(_cut([*zip(*rows)], (*compact_windows._WINDOW, "window"), rng)) for r in b.to_pylist()]
+        plain = {(*w[:4], int(not any(p[1] == w[1] and p[2] <= w[2] <= p[3] for p in passages))) for w in windows}
+        assert sorted(marked) == sorted(plain)
+
+        rows = sorted(plain, key=lambda r: (r[0], -r[4], r[1], r[2]))
+        live = [tuple(r.values()) for b in compact_windows._live(_cut([*zip(*rows)], compact_windows._OPEN, rng)) for r in b.to_pylist()]
+        keys = {r[0] for r in plain if len({q[1] for q in plain if q[0] == r[0]}) > 2 and any(q[0] == r[0] and q[4] for q in plain)}
+        assert sorted(r[:5] for r in live) == sorted(r for r in plain if r[0] in keys)
+        assert len({(r[0], r[5]) for r in live}) == len(live)
+
+
+def test_stretches_come_once():
+    """A stretch that has failed for one share is not tried again for the next."""
+    rng = np.random.default_rng(17)
+    for _ in range(200):
+        held = rng.random(int(rng.integers(1, 200))) < 0.85
+        once = [list(compact_windows._segments(held, 20, [share])) for share in (0.8, 0.85, 1.0)]
+        found = list(compact_windows._segments(held, 20, [0.8, 0.85, 1.0]))
+        assert len(set(found)) == len(found) and set(found) == set().union(*once)
+
+
 def test_windows_of_a_run_take_one_step(monkeypatch):
     """A value that stands 5,000 times in a row, in a text of others: the windows of a plain tree, in few steps."""
     rng = np.random.default_rng(4)
